@@ -58,6 +58,10 @@ def _insight(insight: insights.Insight) -> Query:
     return lambda spark, folder: _settled(insight(_clean(spark, folder), digits=None))
 
 
+def _from_rollup(insight: insights.Insight) -> Query:
+    return lambda spark, folder: _settled(insight(rollup(_clean(spark, folder)), digits=None))
+
+
 def _written(spark: SparkSession, folder: str) -> str:
     path = scratch_path(spark, "clean")
     writers.write_clean(_clean(spark, folder), path)
@@ -175,6 +179,9 @@ def queries() -> dict[str, Query]:
         "pruned_year_month": lambda s, d: sources.read_clean(s, _written(s, d), (2012, 2013), (3, 4, 11)),
         "compact_roundtrip": compact_roundtrip,
         "trip_rollup": lambda s, d: _settled(rollup(_clean(s, d))),
+        "borough_stats_rollup": _from_rollup(insights.borough_stats),
+        "yearly_trends_rollup": _from_rollup(insights.yearly_trends),
+        "weekend_comparison_rollup": _from_rollup(insights.weekend_comparison),
         "route_labels": lambda s, d: report.with_route_labels(insights.top_routes(_clean(s, d), None)),
         "hour_labels": hour_labels,
         "weekend_share": lambda s, d: report.with_share(insights.weekend_comparison(_clean(s, d))).select(

@@ -194,6 +194,48 @@ def _attrition() -> str:
     return _with(FILLED, " UNION ALL ".join(parts))
 
 
+def _rollup() -> str:
+    keys = {
+        "pickup_year": ("calendar", "INTEGER"),
+        "pickup_month": ("calendar", "INTEGER"),
+        "pickup_day_of_week": ("clock", "INTEGER"),
+        "is_weekend": ("clock", "VARCHAR"),
+        "pickup_hour": ("clock", "INTEGER"),
+        "has_speed": ("clock", "BOOLEAN"),
+        "pickup_borough": ("route", "VARCHAR"),
+        "dropoff_borough": ("route", "VARCHAR"),
+        "passenger_count": ("route", "INTEGER"),
+        "trip_category": ("route", "VARCHAR"),
+        "has_distance": ("route", "BOOLEAN"),
+        "has_airport_fee": ("route", "BOOLEAN"),
+    }
+    sums = {"total_amount": "", "trip_distance": "", "trip_duration_mins": "", "speed_mph": "r",
+            "fare_per_mile": "r", "airport_fee": ""}
+    measures = ["count(*) AS trip_rows", "max(trip_duration_mins) AS trip_duration_mins_max"]
+    for column, inexact in sums.items():
+        measures.append(f"{f'round(sum({column}), 4)' if inexact else f'sum({column})'} AS {column}_sum")
+        measures.append(f"count({column}) AS {column}_n")
+    selects = []
+    for cells in ("calendar", "clock", "route"):
+        own = [key for key, (group, _) in keys.items() if group == cells]
+        shown = [key if key in own else f"NULL::{kind} AS {key}" for key, (_, kind) in keys.items()]
+        passengers = (
+            ["passenger_count * count(*) AS passenger_count_sum", "count(*) AS passenger_count_n"]
+            if cells == "route"
+            else ["NULL::BIGINT AS passenger_count_sum", "0 AS passenger_count_n"]
+        )
+        selects.append(
+            f"SELECT '{cells}' AS cells, {', '.join(shown + measures + passengers)} FROM flagged "
+            f"GROUP BY {', '.join(own)}"
+        )
+    flagged = """,
+flagged AS (
+  SELECT *, speed_mph IS NOT NULL AS has_speed, trip_distance > 0 AS has_distance,
+         airport_fee > 0 AS has_airport_fee FROM classified
+)"""
+    return _with(ENRICHED + flagged, " UNION ALL ".join(selects))
+
+
 STATS = """
 ranked AS (
   SELECT {key}, value, row_number() OVER ({over} ORDER BY value) - 1 AS i,
@@ -235,7 +277,7 @@ seen AS (
 def statements() -> dict[str, str]:
     route = "pickup_borough, dropoff_borough"
     by_volume = f"ORDER BY trip_count DESC, {route} LIMIT"
-    return {
+    direct = {
         "borough_stats": _group(
             "pickup_borough", ROWS, FARE, LENGTH, TIME,
             "sum(total_amount) AS total_revenue", "avg(passenger_count) AS avg_passengers",
@@ -314,22 +356,7 @@ def statements() -> dict[str, str]:
         "pruned_year_month": _with(
             CLEAN, f"SELECT * FROM ({LAID_OUT}) WHERE year BETWEEN 2012 AND 2013 AND month IN (3, 4, 11)"
         ),
-        "trip_rollup": _with(
-            ENRICHED,
-            """SELECT pickup_year, pickup_month, pickup_day_of_week, pickup_hour, pickup_borough, dropoff_borough,
-                      passenger_count, trip_category, is_weekend, speed_mph IS NOT NULL AS has_speed,
-                      trip_distance > 0 AS has_distance, airport_fee > 0 AS has_airport_fee,
-                      count(*) AS trip_rows, max(trip_duration_mins) AS trip_duration_mins_max,
-                      sum(total_amount) AS total_amount_sum, count(total_amount) AS total_amount_n,
-                      sum(trip_distance) AS trip_distance_sum, count(trip_distance) AS trip_distance_n,
-                      sum(trip_duration_mins) AS trip_duration_mins_sum,
-                      count(trip_duration_mins) AS trip_duration_mins_n,
-                      round(sum(speed_mph), 4) AS speed_mph_sum, count(speed_mph) AS speed_mph_n,
-                      round(sum(fare_per_mile), 4) AS fare_per_mile_sum, count(fare_per_mile) AS fare_per_mile_n,
-                      sum(airport_fee) AS airport_fee_sum, count(airport_fee) AS airport_fee_n,
-                      passenger_count * count(*) AS passenger_count_sum, count(*) AS passenger_count_n
-               FROM classified GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12""",
-        ),
+        "trip_rollup": _rollup(),
         "route_labels": _with(
             ENRICHED,
             f"""SELECT *, pickup_borough || ' → ' || dropoff_borough AS route_label,
@@ -379,3 +406,5 @@ def statements() -> dict[str, str]:
         "slowest_overall": "SELECT event_type, event_id, value FROM events ORDER BY value DESC, event_id LIMIT 3",
         "streamed_clean": _with(CLEAN, LAID_OUT),
     }
+    again = ("borough_stats", "yearly_trends", "weekend_comparison")
+    return direct | {f"{name}_rollup": direct[name] for name in again}

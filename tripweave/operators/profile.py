@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -41,16 +41,19 @@ def numeric_profile(
         "min": lambda c: F.min(c).cast("double"),
         "max": lambda c: F.max(c).cast("double"),
     }
-    if not exact:
-        simple |= {
-            name: (lambda c, p=p: F.percentile_approx(c, p, accuracy).cast("double")) for name, p in QUARTILES.items()
-        }
-    wide = trips.agg(
-        *[make(c).alias(f"{c}|{name}") for name, make in simple.items() for c in columns]
-    )
-    rows = wide.select(F.inline(F.array(*[_profile_row(name, columns) for name in simple])))
+    wanted = [make(c).alias(f"{c}|{name}") for name, make in simple.items() for c in columns]
     if exact:
+        rows = _as_rows(trips.agg(*wanted), simple, columns)
         rows = rows.unionByName(_exact_quartiles(trips, columns))
+    else:
+        shares = list(QUARTILES.values())
+        sketches = [F.percentile_approx(c, shares, accuracy).alias(f"{c}|quartiles") for c in columns]
+        split = {
+            f"{c}|{name}": F.col(f"`{c}|quartiles`")[i].cast("double")
+            for c in columns
+            for i, name in enumerate(QUARTILES)
+        }
+        rows = _as_rows(trips.agg(*wanted, *sketches).withColumns(split), [*simple, *QUARTILES], columns)
     position = reduce(
         lambda chain, item: chain.when(F.col("summary") == item[1], F.lit(item[0])),
         enumerate(STATISTICS[1:], 1),
@@ -59,6 +62,10 @@ def numeric_profile(
     return rows.orderBy(position)
 
 
+def _as_rows(wide: DataFrame, names: Iterable[str], columns: Sequence[str]) -> DataFrame:
+    return wide.select(F.inline(F.array(*[_profile_row(name, columns) for name in names])))
+
+
 def _profile_row(name: str, columns: Sequence[str]) -> Column:
     return F.struct(F.lit(name).alias("summary"), *[F.col(f"`{c}|{name}`").alias(c) for c in columns])
 

@@ -115,13 +115,17 @@ def attrition(trips: DataFrame, rules: Sequence[Rule] = STRICT_RULES) -> DataFra
     and ``removed_pct`` (share of all rows removed up to and including this rule).
     Expects the columns the rules test, so call it after ``with_duration``.
     """
-    counts = [F.count(F.lit(1)).alias("total")]
-    standing: Column = F.lit(True)
-    for step, rule in enumerate(rules):
-        standing = standing & rule.holds()
-        counts.append(F.count_if(~rule.holds()).alias(f"failing_{step}"))
-        counts.append(F.count_if(standing).alias(f"after_{step}"))
-    totals = trips.agg(*counts)
+    passed = [f"passed_{step}" for step in range(len(rules))]
+    judged = trips.select(*[rule.holds().alias(name) for rule, name in zip(rules, passed, strict=True)])
+    # The step that removes a row: one number from which every survivor count follows.
+    removed_at = F.lit(len(rules))
+    for step, name in reversed(list(enumerate(passed))):
+        removed_at = F.when(~F.col(name), step).otherwise(removed_at)
+    totals = judged.withColumn("removed_at", removed_at).agg(
+        F.count(F.lit(1)).alias("total"),
+        *[F.count_if(~F.col(name)).alias(f"failing_{step}") for step, name in enumerate(passed)],
+        *[F.count_if(F.col("removed_at") > step).alias(f"after_{step}") for step in range(len(rules))],
+    )
     rows = [
         F.struct(
             F.lit(step + 1).alias("step"),

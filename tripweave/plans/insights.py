@@ -19,6 +19,21 @@ from tripweave.operators.enrich import classify, enrich, within_years
 from tripweave.schemas import AIRPORT_BOROUGHS, FIRST_YEAR, LAST_YEAR
 
 ROLLED = "trip_rows"  # row count of a rollup cell; its presence marks a rollup
+CELLS = "cells"  # which of the sets below a rollup cell belongs to
+
+# The keys and flags the insights use, in groups that are never combined.
+CELL_SETS = {
+    "calendar": ("pickup_year", "pickup_month"),
+    "clock": ("pickup_day_of_week", "is_weekend", "pickup_hour", "has_speed"),
+    "route": (
+        "pickup_borough",
+        "dropoff_borough",
+        "passenger_count",
+        "trip_category",
+        "has_distance",
+        "has_airport_fee",
+    ),
+}
 
 
 @dataclass(frozen=True)
@@ -67,7 +82,7 @@ def peak(column: str, name: str) -> Measure:
 
 def prepared(trips: DataFrame) -> DataFrame:
     """Add whichever derived columns a clean table still lacks."""
-    if ROLLED in trips.columns or "has_airport_fee" in trips.columns:
+    if "has_airport_fee" in trips.columns:
         return trips
     return classify(trips if "speed_mph" in trips.columns else enrich(trips))
 
@@ -82,22 +97,33 @@ class Insight:
     order: tuple[str, ...] = ()  # "-name" sorts descending; the keys break ties
     top: int | None = None
     keep: Callable[[DataFrame], DataFrame] | None = None
+    flags: tuple[str, ...] = ()  # columns ``keep`` reads besides the keys
     label: tuple[str, Callable[[], Column]] | None = None
     show_keys: bool = True
 
     def __call__(self, trips: DataFrame, digits: int | None = 2) -> DataFrame:
         needed = {*self.keys, *[m.column for m in self.measures if m.column]}
         bare = self.keep is None and needed <= set(trips.columns)
-        source = trips if bare else prepared(trips)
+        rolled = ROLLED in trips.columns
+        if rolled:
+            source = trips.filter(F.col(CELLS) == self.cell_set())
+        else:
+            source = trips if bare else prepared(trips)
         if self.keep:
             source = self.keep(source)
-        rolled = ROLLED in source.columns
         summary = source.groupBy(*self.keys).agg(*[m.expression(rolled, digits) for m in self.measures])
         ordered = summary.orderBy(*[F.desc(o[1:]) if o[0] == "-" else F.asc(o) for o in self._full_order()])
         if self.top:
             ordered = ordered.limit(self.top)
         return ordered.select(*self._output())
 
+    def cell_set(self) -> str:
+        """The rollup set that has all keys of this insight."""
+        for name, members in CELL_SETS.items():
+            if {*self.keys, *self.flags} <= set(members):
+                return name
+        raise ValueError(f"{self.name} cannot be computed from the rollup")
+
     def _full_order(self) -> tuple[str, ...]:
         named = {o.lstrip("-") for o in self.order}
         return self.order + tuple(k for k in self.keys if k not in named)
@@ -151,6 +177,7 @@ congestion_by_hour = Insight(
     ("pickup_hour",),
     (SPEED, rows(), TIME),
     keep=_flagged("has_speed"),
+    flags=("has_speed",),
 )
 yearly_trends = Insight("yearly_trends", ("pickup_year",), (rows(), FARE, LENGTH), keep=_covered_years)
 trip_categories = Insight(
@@ -181,6 +208,7 @@ airport_trips = Insight(
     order=("-trip_count",),
     top=15,
     keep=touching_airports(),
+    flags=("has_airport_fee",),
 )
 passenger_patterns = Insight("passenger_patterns", ("passenger_count",), (rows(), FARE, LENGTH, TIME))
 fare_efficiency = Insight(
@@ -189,6 +217,7 @@ fare_efficiency = Insight(
     (rows(), mean("fare_per_mile", "avg_fare_per_mile"), FARE, LENGTH),
     order=("-avg_fare_per_mile",),
     keep=_flagged("has_distance"),
+    flags=("has_distance",),
 )
 weekend_comparison = Insight("weekend_comparison", ("is_weekend",), (rows(), FARE, LENGTH, SPEED, TIME))
 peak_hours = Insight(

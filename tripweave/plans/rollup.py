@@ -5,40 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.plans.insights import ROLLED, prepared
+from tripweave.plans.insights import CELL_SETS, CELLS, ROLLED, prepared
 
-CELL_KEYS = (
-    "pickup_year",
-    "pickup_month",
-    "pickup_day_of_week",
-    "pickup_hour",
-    "pickup_borough",
-    "dropoff_borough",
-    "passenger_count",
-    "trip_category",
-    "is_weekend",
-    "has_speed",
-    "has_distance",
-    "has_airport_fee",
-)
 SUMMED = ("total_amount", "trip_distance", "trip_duration_mins", "speed_mph", "fare_per_mile", "airport_fee")
 
 
 def rollup(trips: DataFrame) -> DataFrame:
-    """Partial sums per cell of all grouping keys.
+    """Partial sums for the cells of each key set in ``CELL_SETS``, from one read.
 
-    A mean is kept as sum and non-null count, so means over any set of cells are exact.
-    The keys are calendar fields, boroughs and small classes: the number of cells has a
-    ceiling however many trips there are, and rows are combined before the shuffle.
+    No insight needs calendar, clock and route keys together, so they are summed apart
+    (grouping sets): a few thousand cells instead of millions, which every task combines
+    before the shuffle. A mean is kept as sum and non-null count, so means over any cells
+    of a set are exact. ``cells`` names the set of a row; keys of other sets are null.
     """
     partial = [F.count(F.lit(1)).alias(ROLLED), F.max("trip_duration_mins").alias("trip_duration_mins_max")]
     for column in SUMMED:
         partial += [F.sum(column).alias(f"{column}_sum"), F.count(column).alias(f"{column}_n")]
-    cells = prepared(trips).groupBy(*CELL_KEYS).agg(*partial)
+    keys = [key for members in CELL_SETS.values() for key in members]
+    sets = [[F.col(key) for key in members] for members in CELL_SETS.values()]
+    summed = (
+        prepared(trips).groupingSets(sets, *keys).agg(F.grouping_id(*keys).alias("absent_keys"), *partial)
+    )
+    # grouping_id has one bit per key, first key highest, set where the key is left out.
+    named = F.lit(None).cast("string")
+    for name, members in CELL_SETS.items():
+        absent = sum(1 << (len(keys) - 1 - i) for i, key in enumerate(keys) if key not in members)
+        named = F.when(F.col("absent_keys") == absent, name).otherwise(named)
     passengers = F.col("passenger_count")
-    return cells.withColumns(
+    return summed.withColumns(
         {
+            CELLS: named,
             "passenger_count_sum": passengers * F.col(ROLLED),
             "passenger_count_n": F.when(passengers.isNotNull(), F.col(ROLLED)).otherwise(F.lit(0)),
         }
-    )
+    ).drop("absent_keys")

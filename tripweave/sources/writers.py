@@ -19,6 +19,7 @@ def write_clean(
     path: str,
     tasks: int | None = None,
     splits: int = 1,
+    shuffle: bool = True,
     compression: str = "snappy",
     replace_months_only: bool = False,
     max_records_per_file: int | None = None,
@@ -28,11 +29,15 @@ def write_clean(
     By default Spark rebalances by month: after the shuffle a month above the advisory
     size is split over several tasks and small months share one, so a month that holds a
     third of the data does not end up in one task. With ``tasks`` the months are hashed
-    to that many tasks instead, each month cut into ``splits`` pieces.
+    to that many tasks instead, each month cut into ``splits`` pieces. ``shuffle=False``
+    lets every task write the months it holds: right for input files that each cover one
+    month, where it saves moving the whole table.
     ``replace_months_only`` leaves months without new rows untouched.
     """
     table = with_layout_columns(trips)
-    if tasks is None:
+    if not shuffle:
+        pass
+    elif tasks is None:
         table = table.hint("rebalance", *LAYOUT_KEYS)
     elif splits > 1:
         piece = F.pmod(F.xxhash64(*trips.columns), F.lit(splits))
