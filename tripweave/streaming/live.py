@@ -45,10 +45,15 @@ def append_clean(cleaned: DataFrame, path: str, checkpoint: str, once: bool = Fa
 
 
 def hourly_borough_counts(cleaned: DataFrame, lateness: str = "2 hours") -> DataFrame:
-    """Trips per pickup hour and borough; hours close ``lateness`` behind the newest pickup."""
-    hours = cleaned.withWatermark("pickup_datetime", lateness).groupBy(
-        F.window("pickup_datetime", "1 hour"), "pickup_borough"
+    """Trips per pickup hour and borough; hours close ``lateness`` behind the newest pickup.
+
+    A watermark needs an instant, so the wall clock is read in the session's zone here;
+    in a UTC session every hour stays as it is.
+    """
+    timed = cleaned.withColumn("pickup_instant", F.col("pickup_datetime").cast("timestamp"))
+    hours = timed.withWatermark("pickup_instant", lateness).groupBy(
+        F.window("pickup_instant", "1 hour"), "pickup_borough"
     )
     return hours.agg(F.count(F.lit(1)).alias("trip_count")).select(
-        F.col("window.start").alias("hour_start"), "pickup_borough", "trip_count"
+        F.col("window.start").cast("timestamp_ntz").alias("hour_start"), "pickup_borough", "trip_count"
     )
