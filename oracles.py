@@ -405,6 +405,13 @@ def statements() -> dict[str, str]:
               FROM events) WHERE position <= 3""",
         "slowest_overall": "SELECT event_type, event_id, value FROM events ORDER BY value DESC, event_id LIMIT 3",
         "streamed_clean": _with(CLEAN, LAID_OUT),
+        "streamed_hourly_counts": _with(
+            CLEAN,
+            """SELECT * FROM (
+                 SELECT date_trunc('hour', pickup_datetime) AS hour_start, pickup_borough, count(*) AS trip_count
+                 FROM clean GROUP BY 1, 2)
+               WHERE hour_start + to_hours(1) <= (SELECT max(pickup_datetime) FROM clean) - to_hours(2)""",
+        ),
     }
     again = ("borough_stats", "yearly_trends", "weekend_comparison")
     return direct | {f"{name}_rollup": direct[name] for name in again}

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import sys
+from datetime import UTC, timedelta
+from zoneinfo import ZoneInfo
 
 import pytest
 
@@ -14,6 +16,8 @@ import compare  # noqa: E402
 
 from conftest import TINY  # noqa: E402
 
+ONE_MINUTE = timedelta(minutes=1)
+
 
 @pytest.fixture(scope="module")
 def connection():
@@ -25,8 +29,18 @@ def test_query_matches_sql(spark, connection, name):
     assert compare.spark_side(spark, TINY, name) == compare.oracle_side(connection, name)
 
 
-def test_every_query_but_the_footer_audit_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"schema_drift"}
+def test_queries_without_sql():
+    assert set(entry.queries()) - set(entry.oracle_sql()) == {"schema_drift", "elapsed_duration"}
+
+
+def test_elapsed_duration(spark):
+    zone = ZoneInfo("America/New_York")
+    shifted = 0
+    for start, end, minutes in entry.queries()["elapsed_duration"](spark, TINY).collect():
+        elapsed = (end.replace(tzinfo=zone).astimezone(UTC) - start.replace(tzinfo=zone).astimezone(UTC)) / ONE_MINUTE
+        assert minutes == elapsed
+        shifted += elapsed != (end - start) / ONE_MINUTE
+    assert shifted
 
 
 def test_schema_drift(spark):

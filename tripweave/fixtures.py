@@ -9,13 +9,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.schemas import LEGACY, MIDDLE, MODERN, TRIP_SCHEMA, Era
+from tripweave.schemas import DOUBLE, INT, LEGACY, LONG, MIDDLE, MODERN, TEXT, TIME, TRIP_SCHEMA, Era, table
 
 AIRPORT_BOROUGH = ("AFRICA",)
 
 
+# The columns used, with their stored types; naming them spares a footer job per table.
+TABLES = {
+    "region": table(("r_regionkey", INT), ("r_name", TEXT)),
+    "nation": table(("n_nationkey", INT), ("n_name", TEXT), ("n_regionkey", INT)),
+    "customer": table(("c_custkey", LONG), ("c_nationkey", INT)),
+    "supplier": table(("s_suppkey", LONG), ("s_nationkey", INT)),
+    "orders": table(("o_orderkey", LONG), ("o_custkey", LONG), ("o_orderdate", TIME)),
+    "lineitem": table(
+        ("l_orderkey", LONG),
+        ("l_partkey", LONG),
+        ("l_suppkey", LONG),
+        ("l_linenumber", INT),
+        ("l_quantity", DOUBLE),
+        ("l_extendedprice", DOUBLE),
+        ("l_tax", DOUBLE),
+    ),
+}
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def order_trips(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import SparkSession
 
+_siblings: WeakKeyDictionary = WeakKeyDictionary()
+
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -37,15 +40,22 @@ def case_sensitive(spark: SparkSession) -> SparkSession:
     Raw files hold both ``airport_fee`` and ``Airport_fee``. The Parquet reader looks
     the setting up when a job starts, not when the frame is built, so flipping it around
     the read call is not enough: ingest frames live in a session of their own, which
-    shares the Spark context but not the setting.
+    shares the Spark context but not the setting. There is one per session; settings
+    changed in the session since the last call are carried over.
     """
     if spark.conf.get("spark.sql.caseSensitive", "false") == "true":
         return spark
-    sibling = spark.newSession()
-    for key, value in spark.conf.getAll.items():
-        if spark.conf.isModifiable(key):
-            sibling.conf.set(key, value)
+    sibling, known = _siblings.get(spark) or (spark.newSession(), {})
+    current = spark.conf.getAll
+    for key in current.keys() | known.keys():
+        if current.get(key) == known.get(key) or not spark.conf.isModifiable(key):
+            continue
+        if key in current:
+            sibling.conf.set(key, current[key])
+        else:
+            sibling.conf.unset(key)
     sibling.conf.set("spark.sql.caseSensitive", "true")
+    _siblings[spark] = (sibling, current)
     return sibling
 
 

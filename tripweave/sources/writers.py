@@ -29,7 +29,8 @@ def write_clean(
     By default Spark rebalances by month: after the shuffle a month above the advisory
     size is split over several tasks and small months share one, so a month that holds a
     third of the data does not end up in one task. With ``tasks`` the months are hashed
-    to that many tasks instead, each month cut into ``splits`` pieces. ``shuffle=False``
+    to that many tasks instead, each month cut into ``splits`` pieces by a hash of the
+    row (copies of one row stay together). ``shuffle=False``
     lets every task write the months it holds: right for input files that each cover one
     month, where it saves moving the whole table.
     ``replace_months_only`` leaves months without new rows untouched.
