@@ -59,6 +59,7 @@ def main() -> None:
         f"local[{CPUS}]",
         spark__sql__shuffle__partitions=CPUS,
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__driver__memory="16g",
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -128,7 +128,7 @@ def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes.strip()}\n{body.strip()}"
 
 
-def _group(keys: str, *measures: str, where: str = "", having: str = "", tail: str = "") -> str:
+def _group(keys: str, *measures: str, where: str = "", tail: str = "") -> str:
     condition = f"WHERE {where}" if where else ""
     return _with(
         ENRICHED, f"SELECT {', '.join([keys, *measures])} FROM classified {condition} GROUP BY {keys} {tail}"
@@ -371,7 +371,8 @@ def statements() -> dict[str, str]:
         ),
         "weekend_share": _with(
             ENRICHED,
-            """SELECT is_weekend, trip_count, round(100.0::DOUBLE * trip_count / sum(trip_count) OVER (), 1) AS share_pct
+            """SELECT is_weekend, trip_count,
+                      round(100.0::DOUBLE * trip_count / sum(trip_count) OVER (), 1) AS share_pct
                FROM (SELECT is_weekend, count(*) AS trip_count FROM classified GROUP BY is_weekend)""",
         ),
         "formatted_counts": _with(

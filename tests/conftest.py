@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
         "local[8]",
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__driver__memory="4g",
         spark__sql__session__timeZone="UTC",
         spark__sql__maxMetadataStringLength="20000",

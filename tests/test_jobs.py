@@ -57,7 +57,8 @@ def paths(tmp_path):
 def test_strict_job(spark, paths):
     jobs.strict_etl(spark, paths["raw"], paths["zones"], paths["out"], shuffle=False)
     got = read_clean(spark, paths["out"]).orderBy("pickup_datetime").collect()
-    assert [(r["trip_duration_mins"], r["pickup_borough"], r["dropoff_borough"], r["year"], r["month"]) for r in got] == [
+    columns = ("trip_duration_mins", "pickup_borough", "dropoff_borough", "year", "month")
+    assert [tuple(r[c] for c in columns) for r in got] == [
         (17.42, "Queens", "Brooklyn", 2011, 1),
         (30.0, "Manhattan", "EWR", 2018, 7),
     ]

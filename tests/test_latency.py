@@ -13,11 +13,12 @@ from conftest import plan_text
 
 # Twelve recorded query times, in seconds.
 RECORDED = [13.51, 35.39, 95.97, 17.05, 49.78, 53.52, 69.20, 60.27, 20.99, 32.62, 70.42, 67.78]
+SAMPLE = "name string, g string, value double"
 PICKS = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
 
 
 def samples(spark, values, group="all"):
-    return spark.createDataFrame([(f"q{i:05d}", group, v) for i, v in enumerate(values)], "name string, g string, value double")
+    return spark.createDataFrame([(f"q{i:05d}", group, v) for i, v in enumerate(values)], SAMPLE)
 
 
 def test_recorded_times(spark):
@@ -44,15 +45,17 @@ def test_no_samples(spark):
     assert latency_stats(samples(spark, [1.0]).filter("false"), by=["g"]).count() == 0
 
 
-@pytest.mark.parametrize(("p50", "p99", "label"), [(1.0, 3.01, "high"), (1.0, 3.0, "moderate"), (1.0, 2.0, "good"), (0.0, 9.0, "good")])
+@pytest.mark.parametrize(
+    ("p50", "p99", "label"), [(1.0, 3.01, "high"), (1.0, 3.0, "moderate"), (1.0, 2.0, "good"), (0.0, 9.0, "good")]
+)
 def test_tail_classes(spark, p50, p99, label):
     assert tail_class(spark.createDataFrame([(p50, p99)], "p50 double, p99 double")).first()["tail_class"] == label
 
 
 def test_null_groups_and_null_values(spark):
     rows = [("a", None, 1.0), ("b", None, 3.0), ("c", "x", 5.0), ("d", "x", None)]
-    got = {r["g"]: (r["samples"], r["p50"]) for r in latency_stats(spark.createDataFrame(rows, "name string, g string, value double"), by=["g"]).collect()}
-    assert got == {None: (2, 3.0), "x": (1, 5.0)}
+    stats = latency_stats(spark.createDataFrame(rows, SAMPLE), by=["g"]).collect()
+    assert {r["g"]: (r["samples"], r["p50"]) for r in stats} == {None: (2, 3.0), "x": (1, 5.0)}
 
 
 def shapes():
@@ -77,10 +80,8 @@ def test_narrowing_finds_the_same_ranks(spark, shape):
     values = shapes()[shape]
     frame = samples(spark, values, "hot").unionByName(samples(spark, [3.0, 1.0, 2.0], "small"))
     picks = {"first": lambda n: n * 0, "last": lambda n: n - 1, **{k: floor_index(p) for k, p in PICKS.items()}}
-    got = {
-        (r["g"], r["pick"]): r["value"]
-        for r in order_statistics(frame, "value", picks, ["g"], direct_limit=50, bins=16).select("key.g", "pick", "value").collect()
-    }
+    ranked = order_statistics(frame, "value", picks, ["g"], direct_limit=50, bins=16)
+    got = {(r["key"]["g"], r["pick"]): r["value"] for r in ranked.collect()}
     ordered = sorted(values, key=lambda v: (math.isnan(v), v))
     n = len(values)
     index = {"first": 0, "last": n - 1, **{k: int(n * p) for k, p in PICKS.items()}}
@@ -98,7 +99,8 @@ def test_discrete_index(spark):
 def test_slowest_limits_before_the_shuffle(spark):
     frame = samples(spark, [1.0, 5.0, 5.0, 2.0], "a").unionByName(samples(spark, [9.0], "b"))
     top = slowest(frame, 2, by=["g"])
-    assert sorted((r["g"], r["position"], r["name"]) for r in top.collect()) == [("a", 1, "q00001"), ("a", 2, "q00002"), ("b", 1, "q00000")]
+    got = sorted((r["g"], r["position"], r["name"]) for r in top.collect())
+    assert got == [("a", 1, "q00001"), ("a", 2, "q00002"), ("b", 1, "q00000")]
     assert plan_text(top).count("WindowGroupLimit") >= 2
     assert "TakeOrderedAndProject" in plan_text(slowest(frame, 2))
 
@@ -121,6 +123,7 @@ def test_profile_counts_nulls_out(make_trips):
 
 
 def test_year_range_and_preview(make_trips):
-    trips = make_trips({"pickup": "2001-01-01 00:00:00", "dropoff": "1900-01-01 00:00:00"}, {"dropoff": "2253-01-01 00:00:00"})
+    early = {"pickup": "2001-01-01 00:00:00", "dropoff": "1900-01-01 00:00:00"}
+    trips = make_trips(early, {"dropoff": "2253-01-01 00:00:00"})
     assert tuple(year_range(trips).first()) == (2001, 2019, 1900, 2253)
     assert [r["pickup_datetime"].year for r in preview(trips, 1).collect()] == [2001]

@@ -74,6 +74,21 @@ def test_compact_files(spark, clean_table, tmp_path):
         assert spark.read.parquet(str(path)).count() == clean_table.count()
 
 
+def test_a_month_with_most_rows_is_split(spark, make_trips, zones, tmp_path):
+    amounts = F.explode(F.transform(F.sequence(F.lit(1), F.lit(20_000)), lambda i: i / 16))
+    july = {"pickup": "2019-07-01 10:00:00", "dropoff": "2019-07-01 10:30:00"}
+    hot = make_trips({}).withColumn("total_amount", amounts)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    try:
+        spark.conf.set(size, "64KB")
+        write_clean(clean_trips(hot.unionByName(make_trips(july)).repartition(16), zones), str(tmp_path / "hot"))
+    finally:
+        spark.conf.set(size, before)
+    assert len(list((tmp_path / "hot/year=2019/month=6").glob("*.parquet"))) > 1
+    assert read_clean(spark, str(tmp_path / "hot")).count() == 20_001
+
+
 def test_layout_shuffles_once_and_rebalances(make_trips, zones):
     table = with_layout_columns(clean_trips(make_trips({}), zones)).hint("rebalance", "year", "month")
     plan = plan_text(table)

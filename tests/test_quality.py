@@ -3,7 +3,15 @@ from __future__ import annotations
 import pytest
 
 from tripweave import fixtures
-from tripweave.operators.quality import BASIC_RULES, STRICT_RULES, apply_rules, attrition, clean, fill_defaults, with_duration
+from tripweave.operators.quality import (
+    BASIC_RULES,
+    STRICT_RULES,
+    apply_rules,
+    attrition,
+    clean,
+    fill_defaults,
+    with_duration,
+)
 
 from conftest import TINY
 

@@ -9,7 +9,8 @@ from tripweave.streaming import live
 
 
 def test_cleaning_a_stream_equals_cleaning_the_table(spark, make_trips, zones, tmp_path):
-    trips = make_trips({}, {"trip_distance": 0.0}, {"PULocationID": 264}, {"pickup": "2019-07-01 09:00:00", "dropoff": "2019-07-01 09:30:00"})
+    july = {"pickup": "2019-07-01 09:00:00", "dropoff": "2019-07-01 09:30:00"}
+    trips = make_trips({}, {"trip_distance": 0.0}, {"PULocationID": 264}, july)
     arriving, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
 
     def run():
@@ -47,7 +48,7 @@ def test_hourly_counts_close_behind_the_watermark(spark, make_trips, zones, tmp_
     trips = make_trips(*[{"pickup": f"{day} {a}:00", "dropoff": f"{day} {b}:00"} for a, b in hours])
     trips.coalesce(1).write.parquet(str(tmp_path / "in"))
     counts = live.hourly_borough_counts(clean_trips(live.stream_standard(spark, str(tmp_path / "in")), zones))
-    query = counts.writeStream.format("memory").queryName("hourly").outputMode("append").trigger(availableNow=True).start()
-    query.awaitTermination()
+    writer = counts.writeStream.format("memory").queryName("hourly").outputMode("append")
+    writer.trigger(availableNow=True).start().awaitTermination()
     got = sorted((r["hour_start"], r["pickup_borough"], r["trip_count"]) for r in spark.table("hourly").collect())
     assert got == [(dt.datetime(2019, 6, 5, 8), "Manhattan", 2), (dt.datetime(2019, 6, 5, 9), "Manhattan", 1)]

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tripweave.session import ensure_checkpoints
 
@@ -59,13 +60,15 @@ def order_statistics(
         F.min(finite).alias("start"),
         F.max(finite).alias("stop"),
     )
-    largest = spans.agg(F.max("size")).first()[0] or 0
-    spans = spans.withColumns({"below": F.lit(0).cast("long"), "wanted": _wanted(picks)})
-    if largest <= direct_limit:
-        whole = spans.select("key", F.lit(0).alias("lo"), "below", "wanted")
-        tally = rows.groupBy("key", F.lit(0).alias("lo"), "v").agg(F.count(F.lit(1)).alias("c"))
-        return _rank_tally(tally, whole)
-    return _narrowed(rows, spans, direct_limit, bins)
+    spans = spans.persist()  # one small row per group, read twice
+    try:
+        if (spans.agg(F.max("size")).first()[0] or 0) <= direct_limit:
+            return _direct(rows, picks)
+        ensure_checkpoints(df.sparkSession)
+        start = spans.withColumns({"below": F.lit(0).cast("long"), "wanted": _wanted(picks)}).checkpoint()
+    finally:
+        spans.unpersist()
+    return _narrowed(rows, start, direct_limit, bins)
 
 
 def _wanted(picks: Mapping[str, Pick]) -> Column:
@@ -78,10 +81,22 @@ def _wanted(picks: Mapping[str, Pick]) -> Column:
     )
 
 
+def _running(*keys: str, order: str) -> WindowSpec:
+    return W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+
+
+def _direct(rows: DataFrame, picks: Mapping[str, Pick]) -> DataFrame:
+    """Rank the distinct values of every group with one window."""
+    tally = rows.groupBy("key", "v").agg(F.count(F.lit(1)).alias("c"))
+    counted = tally.withColumns(
+        {"upto": F.sum("c").over(_running("key", order="v")), "size": F.sum("c").over(W.partitionBy("key"))}
+    )
+    held = _held(_wanted(picks), F.col("upto") - F.col("c"), F.col("c"))
+    return counted.select("key", F.explode(held).alias("w"), "v").select("key", "w.pick", F.col("v").alias("value"))
+
+
 def _narrowed(rows: DataFrame, spans: DataFrame, direct_limit: int, bins: int) -> DataFrame:
-    ensure_checkpoints(rows.sparkSession)
     oversized = (F.col("lo") < F.col("hi")) & (F.col("size") > direct_limit)
-    spans = spans.checkpoint()
     while open_spans := spans.filter(oversized).count():
         split = _split(rows, spans.filter(oversized), open_spans, bins)
         spans = spans.filter(~oversized).unionByName(split).checkpoint()
@@ -123,9 +138,7 @@ def _split(rows: DataFrame, spans: DataFrame, count: int, bins: int) -> DataFram
         .groupBy("key", F.col("lo").alias("span_lo"), part.alias("part"))
         .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("new_lo"), F.max("v").alias("new_hi"))
     )
-    upto = F.sum("c").over(
-        W.partitionBy("key", "span_lo").orderBy("part").rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
+    upto = F.sum("c").over(_running("key", "span_lo", order="part"))
     head = spans.select(F.col("key").alias("span_key"), "lo", "below", "wanted")
     placed = (
         histogram.withColumn("upto", upto)
@@ -152,9 +165,7 @@ def _held(wanted: Column, first: Column, count: Column) -> Column:
 
 def _rank_tally(tally: DataFrame, spans: DataFrame) -> DataFrame:
     """Read the wanted ranks off counted distinct values."""
-    upto = F.sum("c").over(
-        W.partitionBy("key", "lo").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
+    upto = F.sum("c").over(_running("key", "lo", order="v"))
     head = spans.select(F.col("key").alias("span_key"), F.col("lo").alias("span_lo"), "below", "wanted")
     hits = (
         tally.withColumn("upto", upto)

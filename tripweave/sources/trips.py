@@ -38,23 +38,36 @@ def read_file(spark: SparkSession, path: str) -> DataFrame:
     return standardize(case_sensitive(spark).read.parquet(path))
 
 
-def read_era(spark: SparkSession, era: Era, *paths: str, pattern: str | None = None) -> DataFrame:
+def read_era(
+    spark: SparkSession, era: Era, *paths: str, pattern: str | None = None, skip_unreadable: bool = False
+) -> DataFrame:
     """The files of one era in a single scan, standardized.
 
     The era's schema is given to the reader, so no footer is opened up front and a column
-    a file lacks reads as null. ``pattern`` restricts the file names.
+    a file lacks reads as null. ``pattern`` restricts the file names. By default a damaged
+    or vanished file fails the job; ``skip_unreadable`` goes on without it
+    (``unreadable_files`` names the damaged ones).
     """
     reader = case_sensitive(spark).read.schema(era.schema)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
+    if skip_unreadable:
+        reader = reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
     return standardize(reader.parquet(*paths))
 
 
 def read_eras(
-    spark: SparkSession, path: str, eras: Iterable[Era] = ERAS, prefix: str = PREFIX
+    spark: SparkSession,
+    path: str,
+    eras: Iterable[Era] = ERAS,
+    prefix: str = PREFIX,
+    skip_unreadable: bool = False,
 ) -> DataFrame:
     """All monthly files under ``path``, one scan per era, assigned by file name."""
-    return union_standard([read_era(spark, era, path, pattern=era.name_pattern(prefix)) for era in eras])
+    scans = [
+        read_era(spark, era, path, pattern=era.name_pattern(prefix), skip_unreadable=skip_unreadable) for era in eras
+    ]
+    return union_standard(scans)
 
 
 def read_drifting(spark: SparkSession, files: DataFrame) -> tuple[DataFrame, DataFrame]:
