@@ -43,18 +43,20 @@ def order_statistics(
 ) -> DataFrame:
     """Values at given ranks: columns ``key`` (struct of ``by``), ``pick`` and ``value``.
 
-    Nulls are left out. Groups of up to ``direct_limit`` rows are ranked with a window over
-    their distinct values. When a group is larger, histogram passes over the data narrow
-    each wanted rank down first: every pass splits the value span that holds a rank into
-    ``bins`` parts and keeps the part the rank falls in, so only counts are shuffled. A
-    span ends when it holds few rows or a single value. The bounds of a span are the
-    smallest and largest value inside it, so the result does not depend on row order or
-    on how tasks are retried.
+    Nulls are left out. Rows are counted per distinct value in every task first. Groups of
+    up to about ``direct_limit`` distinct values are then ranked with a window over those
+    counts. When a group has more, histogram passes over the data narrow each wanted rank
+    down first: every pass splits the value span that holds a rank into ``bins`` parts and
+    keeps the part the rank falls in, so only counts are shuffled. A span ends when it
+    holds few distinct values. The bounds of a span are the smallest and largest value
+    inside it, so the result does not depend on row order or on how tasks are retried;
+    distinct values are estimated, which only decides when to stop narrowing.
     """
     rows = df.select(group_key(by).alias("key"), F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
     finite = F.when(~F.isnan("v") & (F.abs("v") != F.lit(float("inf"))), F.col("v"))
     spans = rows.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"),
+        F.approx_count_distinct("v").alias("variety"),
         F.min("v").alias("lo"),
         F.max("v").alias("hi"),
         F.min(finite).alias("start"),
@@ -62,10 +64,11 @@ def order_statistics(
     )
     spans = spans.persist()  # one small row per group, read twice
     try:
-        if (spans.agg(F.max("size")).first()[0] or 0) <= direct_limit:
+        if (spans.agg(F.max("variety")).first()[0] or 0) <= direct_limit:
             return _direct(rows, picks)
         ensure_checkpoints(df.sparkSession)
-        start = spans.withColumns({"below": F.lit(0).cast("long"), "wanted": _wanted(picks)}).checkpoint()
+        placed = spans.withColumns({"below": F.lit(0).cast("long"), "wanted": _wanted(picks)})
+        start = placed.drop("size").checkpoint()
     finally:
         spans.unpersist()
     return _narrowed(rows, start, direct_limit, bins)
@@ -96,7 +99,7 @@ def _direct(rows: DataFrame, picks: Mapping[str, Pick]) -> DataFrame:
 
 
 def _narrowed(rows: DataFrame, spans: DataFrame, direct_limit: int, bins: int) -> DataFrame:
-    oversized = (F.col("lo") < F.col("hi")) & (F.col("size") > direct_limit)
+    oversized = (F.col("lo") < F.col("hi")) & (F.col("variety") > direct_limit)
     while open_spans := spans.filter(oversized).count():
         split = _split(rows, spans.filter(oversized), open_spans, bins)
         spans = spans.filter(~oversized).unionByName(split).checkpoint()
@@ -136,7 +139,12 @@ def _split(rows: DataFrame, spans: DataFrame, count: int, bins: int) -> DataFram
     histogram = (
         _inside(rows, spans, count)
         .groupBy("key", F.col("lo").alias("span_lo"), part.alias("part"))
-        .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("new_lo"), F.max("v").alias("new_hi"))
+        .agg(
+            F.count(F.lit(1)).alias("c"),
+            F.approx_count_distinct("v").alias("variety"),
+            F.min("v").alias("new_lo"),
+            F.max("v").alias("new_hi"),
+        )
     )
     upto = F.sum("c").over(_running("key", "span_lo", order="part"))
     head = spans.select(F.col("key").alias("span_key"), "lo", "below", "wanted")
@@ -149,7 +157,7 @@ def _split(rows: DataFrame, spans: DataFrame, count: int, bins: int) -> DataFram
     )
     return placed.select(
         "key",
-        F.col("c").alias("size"),
+        "variety",
         F.col("new_lo").alias("lo"),
         F.col("new_hi").alias("hi"),
         F.col("new_lo").alias("start"),

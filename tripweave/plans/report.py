@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -23,11 +24,13 @@ def write_report(
     digits: int | None = 2,
     shared_pass: bool = True,
     fmt: str = "parquet",
+    parallel: int = 4,
 ) -> DataFrame:
     """Write every insight under ``path/insight=<name>`` and return ``name, value`` timings.
 
     With ``shared_pass`` the trips are read once into a rollup table, ``path/_rollup``,
-    and the insights are computed from that.
+    and the insights are computed from that. ``parallel`` jobs are submitted at a time,
+    since each is too small to fill a cluster.
     """
     spark, timings = trips.sparkSession, []
     source = trips
@@ -36,13 +39,17 @@ def write_report(
         rollup(trips).write.mode("overwrite").parquet(f"{path}/_rollup")
         source = spark.read.parquet(f"{path}/_rollup")
         timings.append(("rollup", time.perf_counter() - begun))
-    for insight in insights:
+
+    def save(insight: Insight) -> tuple[str, float]:
         begun = time.perf_counter()
         writer = insight(source, digits).write.mode("overwrite")
         if fmt == "csv":
             writer = writer.option("header", True)
         writer.format(fmt).save(f"{path}/insight={insight.name}")
-        timings.append((insight.name, time.perf_counter() - begun))
+        return insight.name, time.perf_counter() - begun
+
+    with ThreadPoolExecutor(parallel) as pool:
+        timings += pool.map(save, insights)
     return spark.createDataFrame(timings, "name string, value double")
 
 
