@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import subprocess
+import sys
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -52,6 +55,25 @@ def test_schemas_match_what_spark_reads(spark, clean_path):
     assert schema == ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read)
 
 
+def test_task_functions_need_no_package_on_executors(folder):
+    from pyspark import cloudpickle
+
+    script = (
+        "import pickle, sys; from pyspark import cloudpickle; f = pickle.load(sys.stdin.buffer); "
+        "import pandas as pd; print(next(f([pd.DataFrame({'path': [sys.argv[1]]})]))['schema'][0])"
+    )
+    path = str(folder / "yellow_tripdata_2018-07.parquet")
+    done = subprocess.run(
+        [sys.executable, "-c", script, path],
+        input=cloudpickle.dumps(audit._footers),
+        capture_output=True,
+        cwd="/",
+        env={"PATH": "/usr/bin:/bin"},
+    )
+    assert done.stdout.decode().strip() == "`passenger_count` double, `t` timestamp_ntz", done.stderr.decode()
+    cloudpickle.dumps(audit._collapse)
+
+
 def test_month_grid(spark):
     got = [tuple(r) for r in audit.month_grid(spark).orderBy("year", "month").collect()]
     assert got == [(y, m) for y in range(2011, 2025) for m in range(1, 13)]

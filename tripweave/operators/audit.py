@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,6 +14,9 @@ from pyspark.sql import functions as F
 from tripweave.schemas import FIRST_YEAR, LAST_YEAR
 
 FOOTER_DDL = "path string, schema string, error string"
+# Executors need not have this package: the task functions below travel with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PIECE_DDL = "first_file string, last_file string, files long, schema string"
 
 
