@@ -109,6 +109,22 @@ def test_unreadable_files_are_skipped_and_reported(spark, raw_folder):
     assert bad["path"].endswith("2019-01.parquet")
 
 
+def test_untyped_and_dictionary_columns(spark, tmp_path):
+    month_file(tmp_path, "2018-07", passengers=pa.float64())
+    file = tmp_path / "yellow_tripdata_2018-07.parquet"
+    table = pq.read_table(file)
+    table = table.append_column("airport_fee", pa.nulls(1)).append_column("odd`name", pa.array(["N"]).dictionary_encode())
+    pq.write_table(table, file)
+    files = sources.list_files(spark, str(tmp_path))
+    (schema,) = [r["schema"] for r in audit.file_schemas(files).collect()]
+    inferred = case_sensitive(spark).read.parquet(str(file)).schema
+    assert schema.endswith("`airport_fee` int, `odd``name` string")
+    assert [f.dataType.simpleString() for f in inferred][-2:] == ["int", "string"]
+    drifting, rejects = sources.read_drifting(spark, files)
+    assert rows(drifting) == rows(sources.read_eras(spark, str(tmp_path))) == rows(sources.read_file(spark, str(file)))
+    assert drifting.first()["airport_fee"] is None and rejects.count() == 0
+
+
 def test_era_scans_can_go_on_without_a_damaged_file(spark, raw_folder):
     (raw_folder / "yellow_tripdata_2019-01.parquet").write_bytes(b"not parquet")
     with pytest.raises(Exception, match="2019-01"):

@@ -21,7 +21,11 @@ PIECE_DDL = "first_file string, last_file string, files long, schema string"
 
 
 def _open_footer(path: str) -> str:
-    """Schema of one Parquet file as Spark DDL; runs inside a task."""
+    """Schema of one Parquet file as Spark DDL; runs inside a task.
+
+    A column without a type (all null when it was written) is an int, as Spark reads it.
+    """
+    import pyarrow as pa
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
     from pyspark.sql.pandas.types import from_arrow_type
@@ -34,9 +38,12 @@ def _open_footer(path: str) -> str:
         system, name = pafs.LocalFileSystem(), path
     with system.open_input_file(name) as handle:
         fields = pq.read_schema(handle)
-    return ", ".join(
-        f"`{field.name}` {from_arrow_type(field.type, prefer_timestamp_ntz=True).simpleString()}" for field in fields
-    )
+    columns = []
+    for field in fields:
+        stored = pa.int32() if pa.types.is_null(field.type) else field.type
+        dtype = from_arrow_type(stored, prefer_timestamp_ntz=True)
+        columns.append(f"`{field.name.replace('`', '``')}` {dtype.simpleString()}")
+    return ", ".join(columns)
 
 
 def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
