@@ -27,6 +27,7 @@ from tripweave.plans.etl import clean_trips, clean_trips_basic  # noqa: E402
 from tripweave.session import build_session, scratch_path  # noqa: E402
 from tripweave.sources import trips as sources  # noqa: E402
 from tripweave.sources import writers  # noqa: E402
+from tripweave.sources.zones import read_zones  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -53,6 +54,16 @@ def timed(run: Callable[[], object], repeats: int = REPEATS) -> float:
     return statistics.median(spent)
 
 
+def measure(runs: dict[str, Callable[[], object]]) -> dict[str, float]:
+    seconds = {}
+    for name, run in runs.items():
+        if COPIES == 1:
+            run()  # warm-up
+        seconds[name] = round(timed(run), 4)
+        print(f"{name} {seconds[name]:.3f}", file=sys.stderr)
+    return seconds
+
+
 def main() -> None:
     spark = build_session(
         "bench",
@@ -79,8 +90,6 @@ def main() -> None:
         return sources.union_standard([sources.read_era(spark, era, path) for era, path in eras])
 
     def zones() -> DataFrame:
-        from tripweave.sources.zones import read_zones
-
         return read_zones(spark, f"{work}/zones")
 
     clean_path = f"{work}/clean"
@@ -91,28 +100,25 @@ def main() -> None:
             clean_trips(raw(), zones()), f"{work}/clean-map-only", shuffle=False
         ),
     }
-    clean = sources.read_clean
+    seconds = measure(jobs)
+
+    clean = sources.read_clean(spark, clean_path)
     queries: dict[str, Callable[[], object]] = {
-        i.name: (lambda i=i: i(clean(spark, clean_path)).collect()) for i in insights.INSIGHTS
+        i.name: (lambda i=i: i(clean).collect()) for i in insights.INSIGHTS
     }
     extras: dict[str, Callable[[], object]] = {
-        "all_insights_one_pass": lambda: report.write_report(clean(spark, clean_path), f"{work}/report"),
+        "all_insights_one_pass": lambda: report.write_report(clean, f"{work}/report"),
         "rule_attrition": lambda: quality.attrition(quality.with_duration(quality.fill_defaults(raw()))).collect(),
-        "numeric_profile": lambda: profile.numeric_profile(clean(spark, clean_path)).collect(),
-        "month_coverage": lambda: audit.month_coverage(audit.observed_months(clean(spark, clean_path))).collect(),
+        "numeric_profile": lambda: profile.numeric_profile(clean).collect(),
+        "month_coverage": lambda: audit.month_coverage(audit.observed_months(clean)).collect(),
         "schema_runs": lambda: audit.schema_runs(sources.list_files(spark, f"{work}/raw", "*.parquet")).collect(),
         "latency_stats": lambda: latency.latency_stats(
             spark.read.parquet(f"{FOLDER}/events.parquet"), by=("event_type",)
         ).collect(),
     }
-    seconds: dict[str, float] = {}
-    for name, run in {**jobs, **queries, **extras}.items():
-        if COPIES == 1:
-            run()  # warm-up
-        seconds[name] = round(timed(run), 4)
-        print(f"{name} {seconds[name]:.3f}", file=sys.stderr)
+    seconds |= measure({**queries, **extras})
 
-    raw_rows, clean_rows = raw().count(), clean(spark, clean_path).count()
+    raw_rows, clean_rows = raw().count(), clean.count()
     scans = sum(seconds[i.name] for i in insights.INSIGHTS)
     print(
         json.dumps(

@@ -69,12 +69,12 @@ def formatted(result: DataFrame, digits: int = 2) -> DataFrame:
     return result.select(*[text(field) for field in result.schema.fields])
 
 
-def with_route_labels(routes: DataFrame) -> DataFrame:
+def with_route_labels(routes: DataFrame, million_digits: int = 1) -> DataFrame:
     """Routes by ascending volume, with a route label and a short count label."""
     return routes.withColumns(
         {
             "route_label": labels.route_label(F.col("pickup_borough"), F.col("dropoff_borough")),
-            "count_label": labels.magnitude_label(F.col("trip_count")),
+            "count_label": labels.magnitude_label(F.col("trip_count"), million_digits),
         }
     ).orderBy("trip_count", "route_label")
 
