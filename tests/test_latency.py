@@ -80,7 +80,7 @@ def test_narrowing_finds_the_same_ranks(spark, shape):
     values = shapes()[shape]
     frame = samples(spark, values, "hot").unionByName(samples(spark, [3.0, 1.0, 2.0], "small"))
     picks = {"first": lambda n: n * 0, "last": lambda n: n - 1, **{k: floor_index(p) for k, p in PICKS.items()}}
-    ranked = order_statistics(frame, "value", picks, ["g"], direct_limit=50, bins=16)
+    ranked = order_statistics(frame, "value", picks, ["g"], direct_limit=100, bins=64)
     got = {(r["key"]["g"], r["pick"]): r["value"] for r in ranked.collect()}
     ordered = sorted(values, key=lambda v: (math.isnan(v), v))
     n = len(values)

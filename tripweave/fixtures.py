@@ -39,24 +39,26 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def order_trips(spark: SparkSession, folder: str) -> DataFrame:
     """Raw trips with gaps and errors, in ``TRIP_SCHEMA``."""
+    years = F.when(F.col("o_orderkey") % 97 == 0, 40).otherwise(16)
+    orders = _table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", F.timestamp_add("YEAR", years, F.col("o_orderdate")).alias("base")
+    )
     lines = (
         _table(spark, folder, "lineitem")
-        .join(_table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(_table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(_table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     )
-    shift = F.when(F.col("l_orderkey") % 97 == 0, 40).otherwise(16)
     start = (F.col("o_orderkey") * 7919 + F.col("l_linenumber") * 131) % 1440
     length = (F.col("l_partkey") * 37 + F.col("l_suppkey")) % 260 - 5
-    pickup = F.timestamp_add("MINUTE", start, F.timestamp_add("YEAR", shift, F.col("o_orderdate")))
     passengers = ((F.col("l_linenumber") + F.col("l_partkey")) % 8).cast("int")
     located = {
         "PULocationID": F.when(F.col("c_nationkey") != 24, F.col("c_nationkey").cast("long")),
         "DOLocationID": F.when(F.col("s_nationkey") != 24, F.col("s_nationkey").cast("long")),
     }
     return lines.select(
-        pickup.alias("pickup_datetime"),
-        F.timestamp_add("MINUTE", length, pickup).alias("dropoff_datetime"),
+        F.timestamp_add("MINUTE", start, F.col("base")).alias("pickup_datetime"),
+        F.timestamp_add("MINUTE", start + length, F.col("base")).alias("dropoff_datetime"),
         *[value.alias(name) for name, value in located.items()],
         ((F.col("l_quantity") - 2) * 0.5).alias("trip_distance"),
         (F.floor(F.col("l_extendedprice") * 4 / 50) / F.lit(4.0)).alias("total_amount"),
