@@ -23,6 +23,13 @@ from tripweave.sources import trips as sources  # noqa: E402
 from tripweave.sources import writers  # noqa: E402
 from tripweave.streaming import live  # noqa: E402
 
+try:
+    from tripweave.llm import queries as llm
+except ModuleNotFoundError as missing:  # the subpackage is optional
+    if missing.name != "tripweave.llm":
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Means of ratios are not exact binary fractions, so summation order shows in their last
@@ -162,7 +169,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every registered query, each over the whole tables of a folder."""
-    named = {i.name: _insight(i) for i in insights.INSIGHTS}
+    named = {i.name: _insight(i) for i in insights.INSIGHTS} | (llm.queries() if llm else {})
     return named | {
         "airport_trips": _insight(insights.for_airports(fixtures.AIRPORT_BOROUGH)),
         "baseline_borough": lambda s, d: insights.baseline_borough(_basic(s, d)),
@@ -222,4 +229,4 @@ def oracle_sql() -> dict[str, str]:
     ``schema_drift`` reads file footers. ``elapsed_duration`` reads a repeated autumn hour
     as its first occurrence, as Java does; DuckDB takes the second. Neither has SQL.
     """
-    return oracles.statements()
+    return oracles.statements() | (llm.oracle_sql() if llm else {})
