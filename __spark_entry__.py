@@ -24,9 +24,10 @@ from tripweave.sources import writers  # noqa: E402
 from tripweave.streaming import live  # noqa: E402
 
 try:
+    import corpus_pipeline
     from tripweave.llm import queries as llm
-except ModuleNotFoundError as missing:  # the subpackage is optional
-    if missing.name != "tripweave.llm":
+except ModuleNotFoundError as missing:  # the subpackage and its pipeline are optional
+    if missing.name not in ("corpus_pipeline", "tripweave.llm"):
         raise
     llm = None
 
@@ -169,7 +170,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every registered query, each over the whole tables of a folder."""
-    named = {i.name: _insight(i) for i in insights.INSIGHTS} | (llm.queries() if llm else {})
+    named = {i.name: _insight(i) for i in insights.INSIGHTS}
+    if llm:
+        named |= llm.queries() | {"pipeline": corpus_pipeline.run}
     return named | {
         "airport_trips": _insight(insights.for_airports(fixtures.AIRPORT_BOROUGH)),
         "baseline_borough": lambda s, d: insights.baseline_borough(_basic(s, d)),
@@ -229,4 +232,7 @@ def oracle_sql() -> dict[str, str]:
     ``schema_drift`` reads file footers. ``elapsed_duration`` reads a repeated autumn hour
     as its first occurrence, as Java does; DuckDB takes the second. Neither has SQL.
     """
-    return oracles.statements() | (llm.oracle_sql() if llm else {})
+    statements = oracles.statements() | (llm.oracle_sql() if llm else {})
+    if llm and corpus_pipeline.ORACLE_SQL:
+        statements["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return statements
