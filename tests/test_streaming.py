@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from tripweave.plans.etl import clean_trips
 from tripweave.schemas import CLEAN_SCHEMA, MODERN
 from tripweave.sources.trips import read_clean
@@ -42,13 +44,34 @@ def test_streamed_era_files(spark, tmp_path):
     assert (row["airport_fee"], row["passenger_count"]) == (1.25, 2)
 
 
-def test_hourly_counts_close_behind_the_watermark(spark, make_trips, zones, tmp_path):
-    day = "2019-06-05"
-    hours = [("08:10", "08:30"), ("08:50", "09:10"), ("09:05", "09:30"), ("13:00", "13:30")]
-    trips = make_trips(*[{"pickup": f"{day} {a}:00", "dropoff": f"{day} {b}:00"} for a, b in hours])
-    trips.coalesce(1).write.parquet(str(tmp_path / "in"))
-    counts = live.hourly_borough_counts(clean_trips(live.stream_standard(spark, str(tmp_path / "in")), zones))
-    writer = counts.writeStream.format("memory").queryName("hourly").outputMode("append")
-    writer.trigger(availableNow=True).start().awaitTermination()
-    got = sorted((r["hour_start"], r["pickup_borough"], r["trip_count"]) for r in spark.table("hourly").collect())
-    assert got == [(dt.datetime(2019, 6, 5, 8), "Manhattan", 2), (dt.datetime(2019, 6, 5, 9), "Manhattan", 1)]
+def counted(spark, trips, zones, tmp_path, *extra):
+    """Every frame of trips is a file of its own, taken in the order given."""
+    arriving, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    for more in (trips, *extra):
+        more.coalesce(1).write.mode("append").parquet(arriving)
+        stream = clean_trips(live.stream_standard(spark, arriving, files_per_batch=1), zones)
+        live.write_hourly_counts(live.hourly_borough_counts(stream), out, progress, once=True).awaitTermination()
+    rows = live.read_hourly_counts(spark, out).collect()
+    return sorted((r["hour_start"], r["pickup_borough"], r["trip_count"]) for r in rows)
+
+
+def test_hourly_counts_of_late_and_stray_trips(spark, make_trips, zones, tmp_path):
+    def at(*times):
+        return make_trips(*[{"pickup": f"{t}:10:00", "dropoff": f"{t}:40:00"} for t in times])
+
+    stray = at("2011-01-01 08", "2024-12-31 23")
+    got = counted(spark, stray, zones, tmp_path, at("2011-03-01 08", "2011-03-01 08"), at("2011-02-01 08"), at("2011-03-01 08"))
+    assert [(str(hour), n) for hour, _, n in got] == [
+        ("2011-01-01 08:00:00", 1), ("2011-02-01 08:00:00", 1), ("2011-03-01 08:00:00", 3), ("2024-12-31 23:00:00", 1),
+    ]
+
+
+def test_hours_do_not_depend_on_the_session_zone(spark, make_trips):
+    trips = make_trips(*[{"pickup": f"2024-03-10 0{h}:30:15.5"} for h in (1, 2, 3)]).withColumn("pickup_borough", F.lit("x"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        hours = sorted(r["hour_start"] for r in live.hourly_borough_counts(trips).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert hours == [dt.datetime(2024, 3, 10, h) for h in (1, 2, 3)]

@@ -9,6 +9,7 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import SparkSession
 
 _siblings: WeakKeyDictionary = WeakKeyDictionary()
+_local_roots: dict[str, str] = {}
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -70,9 +71,11 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="tripweave-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    # Core settings cannot be changed at run time, so the folder is remembered here.
+    application = spark.sparkContext.applicationId
+    if application not in _local_roots:
+        _local_roots[application] = tempfile.mkdtemp(prefix="tripweave-")
+    return _local_roots[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -1,7 +1,7 @@
 """The cleaning job over files as they arrive, and hourly counts from it.
 
 Both reuse the batch functions; cleaning keeps no state, the counts keep one row per
-open hour and borough.
+hour and borough. No trip is ever too late to be counted.
 """
 
 from __future__ import annotations
@@ -44,16 +44,33 @@ def append_clean(cleaned: DataFrame, path: str, checkpoint: str, once: bool = Fa
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def hourly_borough_counts(cleaned: DataFrame, lateness: str = "2 hours") -> DataFrame:
-    """Trips per pickup hour and borough; hours close ``lateness`` behind the newest pickup.
+def hourly_borough_counts(cleaned: DataFrame) -> DataFrame:
+    """Trips per pickup hour and borough, over all that has arrived.
 
-    A watermark needs an instant, so the wall clock is read in the session's zone here;
-    in a UTC session every hour stays as it is.
+    There is no watermark: files come in any order of months, and one reading with a clock
+    that is ahead must not close the hours of all others. The state is bounded by the
+    calendar. The hour is cut off the wall clock, so no time zone takes part.
     """
-    timed = cleaned.withColumn("pickup_instant", F.col("pickup_datetime").cast("timestamp"))
-    hours = timed.withWatermark("pickup_instant", lateness).groupBy(
-        F.window("pickup_instant", "1 hour"), "pickup_borough"
-    )
-    return hours.agg(F.count(F.lit(1)).alias("trip_count")).select(
-        F.col("window.start").cast("timestamp_ntz").alias("hour_start"), "pickup_borough", "trip_count"
-    )
+    past_hour = "make_dt_interval(0, 0, minute(pickup_datetime), extract(SECOND FROM pickup_datetime))"
+    hour = F.expr(f"pickup_datetime - {past_hour}").alias("hour_start")
+    return cleaned.groupBy(hour, "pickup_borough").agg(F.count(F.lit(1)).alias("trip_count"))
+
+
+def write_hourly_counts(counts: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Keep a table of streamed counts up to date.
+
+    Each batch writes the counts it changed to a folder of its own; a batch that is
+    repeated after a failure replaces that folder.
+    """
+
+    def put(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    writer = counts.writeStream.foreachBatch(put).outputMode("update").option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def read_hourly_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The latest counts: a count only grows, so the greatest of an hour and borough is the last."""
+    latest = F.max("trip_count").alias("trip_count")
+    return spark.read.parquet(path).groupBy("hour_start", "pickup_borough").agg(latest)
