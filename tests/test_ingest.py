@@ -228,3 +228,41 @@ def test_zone_file(spark, tmp_path):
     got = [tuple(r) for r in read_zones(spark, str(tmp_path / "zones.csv")).collect()]
     assert got == [(1, "EWR", "Newark, Airport", "EWR"), (2, None, "x", "y")]
     assert LEGACY.schema["passenger_count"] != MIDDLE.schema["passenger_count"]
+
+
+def test_every_file_is_read_or_listed(spark, raw_folder, tmp_path):
+    """Months beyond the eras, foreign names and damaged files are told, not lost."""
+    import shutil
+
+    folder = tmp_path / "all"
+    shutil.copytree(raw_folder, folder)
+    some = next(str(p) for p in sorted(folder.rglob("*.parquet")))
+    for name in ("2009-05", "2025-01", "2030-01"):
+        shutil.copy(some, folder / f"{sources.PREFIX}{name}.parquet")
+    shutil.copy(some, folder / "other.parquet")
+    (folder / f"{sources.PREFIX}2014-02.parquet").write_bytes(b"nothing")
+    found = {r["path"].rsplit("/", 1)[1]: r["reason"] for r in sources.left_out(spark, str(folder)).collect()}
+    beyond = {f"{sources.PREFIX}{m}.parquet": "a month of no era" for m in ("2009-05", "2025-01", "2030-01")}
+    damaged = found.pop(f"{sources.PREFIX}2014-02.parquet")
+    assert found == beyond | {"other.parquet": "not named by a month"} and "Arrow" in damaged
+    listed = {r["path"].rsplit("/", 1)[1] for r in sources.list_files(spark, str(folder)).collect()}
+    assert set(beyond) <= listed
+
+
+def test_types_that_arrow_names_otherwise(spark, tmp_path):
+    import datetime as dt
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from tripweave.operators.audit import file_schemas
+
+    day = pa.array([dt.datetime(2020, 1, 1)], pa.timestamp("us"))
+    wide = pa.table({"a": pa.array([1], pa.uint8()), "b": pa.array([1], pa.uint16()), "c": pa.array([1], pa.uint32()),
+                     "d": pa.array([1], pa.uint64()), "t": day})
+    pq.write_table(wide, tmp_path / "x.parquet", use_deprecated_int96_timestamps=True)
+    files = spark.createDataFrame([(str(tmp_path / "x.parquet"),)], "path string")
+    (row,) = file_schemas(files).collect()
+    assert row["error"] is None
+    stored = {n: t for n, t in spark.read.parquet(str(tmp_path / "x.parquet")).dtypes}
+    assert {c.split(" ")[0].strip("`"): c.split(" ")[1] for c in row["schema"].split(", ")} == stored

@@ -81,5 +81,5 @@ def test_basic_job(spark, paths):
 
 
 def test_inspection(spark, paths):
-    runs, missing = jobs.inspect_files(spark, paths["raw"])
+    runs, missing, damaged = jobs.inspect_files(spark, paths["raw"])
     assert runs.count() == 3 and missing.count() == 165

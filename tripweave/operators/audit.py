@@ -20,6 +20,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PIECE_DDL = "first_file string, last_file string, files long, schema string"
 
 
+class DamagedFile(Exception):
+    """A file that is not, or no longer, a Parquet file."""
+
+
 def _open_footer(path: str) -> str:
     """Schema of one Parquet file as Spark DDL; runs inside a task.
 
@@ -36,13 +40,26 @@ def _open_footer(path: str) -> str:
         system, name = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     else:
         system, name = pafs.LocalFileSystem(), path
-    with system.open_input_file(name) as handle:
-        fields = pq.read_schema(handle)
+    # Spark's types for what it reads wider or differently than the Arrow type says.
+    wider = {pa.null(): "int", pa.uint8(): "smallint", pa.uint16(): "int", pa.uint32(): "bigint"}
+    wider[pa.uint64()] = "decimal(20,0)"
+    try:
+        with system.open_input_file(name) as handle:
+            file = pq.ParquetFile(handle)
+            fields = file.schema_arrow
+            leaves = [file.schema.column(i) for i in range(len(file.schema))]
+    except PermissionError:
+        raise
+    except (OSError, pa.ArrowInvalid) as problem:
+        raise DamagedFile(f"{type(problem).__name__}: {problem}") from problem
+    int96 = {leaf.path for leaf in leaves if leaf.physical_type == "INT96"}
     columns = []
     for field in fields:
-        stored = pa.int32() if pa.types.is_null(field.type) else field.type
-        dtype = from_arrow_type(stored, prefer_timestamp_ntz=True)
-        columns.append(f"`{field.name.replace('`', '``')}` {dtype.simpleString()}")
+        if field.name in int96:
+            kind = "timestamp"
+        else:
+            kind = wider.get(field.type) or from_arrow_type(field.type, prefer_timestamp_ntz=True).simpleString()
+        columns.append(f"`{field.name.replace('`', '``')}` {kind}")
     return ", ".join(columns)
 
 
@@ -52,8 +69,8 @@ def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for path in batch["path"]:
             try:
                 found.append((path, _open_footer(path), None))
-            except Exception as problem:  # any unreadable file is reported, not fatal
-                found.append((path, None, f"{type(problem).__name__}: {problem}"))
+            except DamagedFile as problem:  # reported, not fatal; anything else is
+                found.append((path, None, str(problem)))
         yield pd.DataFrame(found, columns=["path", "schema", "error"])
 
 

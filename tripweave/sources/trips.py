@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 
@@ -9,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tripweave.operators.audit import file_schemas
+from tripweave.operators.audit import file_schemas, unreadable_files
 from tripweave.operators.standardize import standardize, union_standard
 from tripweave.schemas import CLEAN_SCHEMA, ERAS, PARTITION_SCHEMA, TARGETS, Era
 from tripweave.session import case_sensitive
 
 PREFIX = "yellow_tripdata_"
-ANY_MONTH = PREFIX + "20[12][0-9]-*.parquet"
+ANY_MONTH = PREFIX + "[0-9][0-9][0-9][0-9]-*.parquet"
 ALIASES = frozenset(alias for target in TARGETS for alias in target.aliases)
 
 
@@ -63,13 +64,33 @@ def read_eras(
     prefix: str = PREFIX,
     skip_unreadable: bool = False,
 ) -> DataFrame:
-    """All monthly files under ``path``, one scan per era, assigned by file name."""
+    """All monthly files under ``path``, one scan per era, assigned by file name.
+
+    ``left_out`` names the files that no era takes.
+    """
     scans = [
         read_era(spark, era, path, pattern=era.name_pattern(prefix), skip_unreadable=skip_unreadable) for era in eras
     ]
     return union_standard(scans)
 
 
+def left_out(spark: SparkSession, path: str, eras: Iterable[Era] = ERAS, prefix: str = PREFIX) -> DataFrame:
+    """``path`` and ``reason`` of every Parquet file that ``read_eras`` does not read, or that is damaged.
+
+    With ``read_eras`` this accounts for all files under a folder: a file of a month
+    outside every era, or not named by a month, is listed here and not read.
+    """
+    files = list_files(spark, path, "*.parquet")
+    month = F.regexp_extract("path", f"/{re.escape(prefix)}(\\d{{4}}-\\d{{2}})\\.parquet$", 1)
+    covered = F.lit(False)
+    for era in eras:
+        covered |= month.between("%04d-%02d" % era.first, "%04d-%02d" % era.last)
+    reason = F.when(month == "", "not named by a month").when(~covered, "a month of no era")
+    unassigned = files.select("path", reason.alias("reason")).where("reason IS NOT NULL")
+    damaged = unreadable_files(file_schemas(files)).select("path", F.col("error").alias("reason"))
+    return unassigned.unionByName(damaged)
+
+
 def read_drifting(spark: SparkSession, files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Standardized trips from files of unknown schemas, and the files left out.
 
