@@ -99,6 +99,12 @@ def test_rollup_answers_the_same(clean_table, name):
     assert all(same(a, b) for x, y in zip(direct, rolled) for a, b in zip(x, y))
 
 
+def test_rollup_refuses_measures_it_does_not_hold(clean_table):
+    unknown = insights.Insight("x", ("pickup_year",), (insights.peak("total_amount", "p"),))
+    with pytest.raises(ValueError, match="total_amount_max"):
+        unknown(rollup(clean_table))
+
+
 def test_borough_summaries_over_the_rollup(clean_table):
     cells = rollup(clean_table)
     for insight in (insights.baseline_borough, insights.borough_counts, insights.borough_means):

@@ -57,6 +57,12 @@ class Measure:
             return F.try_divide(F.sum(f"{self.column}_sum"), F.sum(f"{self.column}_n"))
         return {"total": F.sum, "peak": F.max}[self.kind](f"{self.column}_{'sum' if self.kind == 'total' else 'max'}")
 
+    def check(self, rollup: DataFrame) -> None:
+        """Refuse what a rollup does not hold."""
+        parts = {"rows": (), "mean": ("sum", "n"), "total": ("sum",), "peak": ("max",)}[self.kind]
+        if missing := [f"{self.column}_{part}" for part in parts if f"{self.column}_{part}" not in rollup.columns]:
+            raise ValueError(f"{self.name} cannot be computed from the rollup, which lacks {missing}")
+
     def expression(self, rolled: bool, digits: int | None) -> Column:
         value = self.over_cells() if rolled else self.over_rows()
         if digits is not None and self.digits is not None and self.kind != "rows":
@@ -106,6 +112,8 @@ class Insight:
         bare = self.keep is None and needed <= set(trips.columns)
         rolled = ROLLED in trips.columns
         if rolled:
+            for measure in self.measures:
+                measure.check(trips)
             source = trips.filter(F.col(CELLS) == self.cell_set())
         else:
             source = trips if bare else prepared(trips)
