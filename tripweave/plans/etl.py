@@ -25,8 +25,8 @@ def clean_trips(
     return with_zones(valid, zones, exclude, strategy, facts=facts).select(*CLEAN_SCHEMA.names)
 
 
-def clean_trips_basic(trips: DataFrame, zones: DataFrame, strategy: str = "merge") -> DataFrame:
-    """The baseline job: shuffled joins, five rules, filter before fill."""
+def clean_trips_basic(trips: DataFrame, zones: DataFrame, strategy: str = "auto") -> DataFrame:
+    """The baseline job: five rules, filter before fill."""
     located = with_zones(trips, zones, strategy=strategy, details=True)
     valid = clean(located, BASIC_RULES, fill_first=False)
     return valid.select(

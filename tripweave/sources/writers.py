@@ -56,13 +56,19 @@ def write_clean(
     writer.parquet(path)
 
 
-def write_compact(trips: DataFrame, path: str, files: int = 10, shuffle: bool = True) -> None:
-    """Overwrite an unpartitioned Parquet folder of at most ``files`` files.
+def write_compact(trips: DataFrame, path: str, files: int | None = None, shuffle: bool = True) -> None:
+    """Overwrite an unpartitioned Parquet folder.
+
+    By default files have about the advisory partition size, however large the table is;
+    with ``files`` there are at most so many.
 
     ``shuffle=False`` merges partitions without moving rows, but then the work feeding the
     write runs in ``files`` tasks too.
     """
-    packed = trips.repartition(files) if shuffle else trips.coalesce(files)
+    if files is None:
+        packed = trips.hint("rebalance")
+    else:
+        packed = trips.repartition(files) if shuffle else trips.coalesce(files)
     packed.write.mode("overwrite").parquet(path)
 
 
