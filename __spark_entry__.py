@@ -21,6 +21,7 @@ from tripweave.plans.rollup import rollup  # noqa: E402
 from tripweave.session import scratch_path  # noqa: E402
 from tripweave.sources import trips as sources  # noqa: E402
 from tripweave.sources import writers  # noqa: E402
+from tripweave.sources.zones import read_zones  # noqa: E402
 from tripweave.streaming import live  # noqa: E402
 
 try:
@@ -128,13 +129,39 @@ def streamed_clean(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def streamed_hourly_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """All files in one batch, so which hours have closed depends on the data alone."""
+    """Several files of mixed months, a batch each."""
     path = scratch_path(spark, "stream")
-    _raw(spark, folder).write.parquet(f"{path}/in")
-    counts = live.hourly_borough_counts(clean_trips(live.stream_standard(spark, f"{path}/in"), _zones(spark, folder)))
-    writer = counts.writeStream.format("parquet").option("path", f"{path}/out")
-    writer.option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{path}/out")
+    _raw(spark, folder).repartition(3, F.month("pickup_datetime")).write.parquet(f"{path}/in")
+    arriving = live.stream_standard(spark, f"{path}/in", files_per_batch=1)
+    counts = live.hourly_borough_counts(clean_trips(arriving, _zones(spark, folder)))
+    live.write_hourly_counts(counts, f"{path}/out", f"{path}/progress", once=True).awaitTermination()
+    return live.read_hourly_counts(spark, f"{path}/out")
+
+
+def coalesced_write(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "coalesced")
+    writers.write_compact(_basic(spark, folder), path, files=4, shuffle=False)
+    return spark.read.parquet(path)
+
+
+def replaced_month(spark: SparkSession, folder: str) -> DataFrame:
+    """One month of a written table is written again; the others stay as they are."""
+    path = _written(spark, folder)
+    march = _clean(spark, folder).where("year(pickup_datetime) = 2012 AND month(pickup_datetime) = 3")
+    writers.write_clean(march, path, replace_months_only=True)
+    return sources.read_clean(spark, path)
+
+
+def bucketed_counts(spark: SparkSession, folder: str) -> DataFrame:
+    table = scratch_path(spark, "bucketed").rsplit("/", 1)[1].replace("-", "_")
+    writers.write_bucketed(_clean(spark, folder), table, 4)
+    return spark.table(table).groupBy("pickup_borough").agg(F.count(F.lit(1)).alias("trip_count"))
+
+
+def zones_from_csv(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "zones")
+    _zones(spark, folder).write.option("header", True).csv(path)
+    return read_zones(spark, path)
 
 
 def _joined(strategy: str) -> Query:
@@ -201,10 +228,20 @@ def queries() -> dict[str, Query]:
         "partitioned_roundtrip": lambda s, d: sources.read_clean(s, _written(s, d)),
         "pruned_year_month": lambda s, d: sources.read_clean(s, _written(s, d), (2012, 2013), (3, 4, 11)),
         "compact_roundtrip": compact_roundtrip,
+        "coalesced_write": coalesced_write,
+        "replaced_month": replaced_month,
+        "bucketed_counts": bucketed_counts,
+        "zones_from_csv": zones_from_csv,
         "trip_rollup": lambda s, d: _settled(rollup(_clean(s, d))),
         "borough_stats_rollup": _from_rollup(insights.borough_stats),
         "yearly_trends_rollup": _from_rollup(insights.yearly_trends),
         "weekend_comparison_rollup": _from_rollup(insights.weekend_comparison),
+        **{
+            f"passengers_by_{key.removeprefix('pickup_')}_rollup": _from_rollup(
+                insights.Insight("passengers", (key,), (insights.mean("passenger_count", "avg_passengers"),))
+            )
+            for key in ("pickup_year", "pickup_month", "pickup_hour", "pickup_day_of_week")
+        },
         "route_labels": lambda s, d: report.with_route_labels(insights.top_routes(_clean(s, d), None)),
         "hour_labels": hour_labels,
         "weekend_share": lambda s, d: report.with_share(insights.weekend_comparison(_clean(s, d))).select(

@@ -209,7 +209,7 @@ def _rollup() -> str:
         "has_distance": ("route", "BOOLEAN"),
         "has_airport_fee": ("route", "BOOLEAN"),
     }
-    sums = {"total_amount": "", "trip_distance": "", "trip_duration_mins": "", "speed_mph": "r",
+    sums = {"passenger_count": "", "total_amount": "", "trip_distance": "", "trip_duration_mins": "", "speed_mph": "r",
             "fare_per_mile": "r", "airport_fee": ""}
     measures = ["count(*) AS trip_rows", "max(trip_duration_mins) AS trip_duration_mins_max"]
     for column, inexact in sums.items():
@@ -219,14 +219,8 @@ def _rollup() -> str:
     for cells in ("calendar", "clock", "route"):
         own = [key for key, (group, _) in keys.items() if group == cells]
         shown = [key if key in own else f"NULL::{kind} AS {key}" for key, (_, kind) in keys.items()]
-        passengers = (
-            ["passenger_count * count(*) AS passenger_count_sum", "count(*) AS passenger_count_n"]
-            if cells == "route"
-            else ["NULL::BIGINT AS passenger_count_sum", "0 AS passenger_count_n"]
-        )
         selects.append(
-            f"SELECT '{cells}' AS cells, {', '.join(shown + measures + passengers)} FROM flagged "
-            f"GROUP BY {', '.join(own)}"
+            f"SELECT '{cells}' AS cells, {', '.join(shown + measures)} FROM flagged GROUP BY {', '.join(own)}"
         )
     flagged = """,
 flagged AS (
@@ -353,6 +347,12 @@ def statements() -> dict[str, str]:
         "drifting_union": UNION_ROWS,
         "partitioned_roundtrip": _with(CLEAN, LAID_OUT),
         "compact_roundtrip": _with(BASIC, "SELECT * FROM basic"),
+        "coalesced_write": _with(BASIC, "SELECT * FROM basic"),
+        "replaced_month": _with(CLEAN, LAID_OUT),
+        "bucketed_counts": _with(CLEAN, "SELECT pickup_borough, count(*) AS trip_count FROM clean GROUP BY 1"),
+        "zones_from_csv": _with(
+            TRIPS, "SELECT LocationID::INTEGER AS LocationID, Borough, Zone, service_zone FROM zones"
+        ),
         "pruned_year_month": _with(
             CLEAN, f"SELECT * FROM ({LAID_OUT}) WHERE year BETWEEN 2012 AND 2013 AND month IN (3, 4, 11)"
         ),
@@ -408,11 +408,15 @@ def statements() -> dict[str, str]:
         "streamed_clean": _with(CLEAN, LAID_OUT),
         "streamed_hourly_counts": _with(
             CLEAN,
-            """SELECT * FROM (
-                 SELECT date_trunc('hour', pickup_datetime) AS hour_start, pickup_borough, count(*) AS trip_count
-                 FROM clean GROUP BY 1, 2)
-               WHERE hour_start + to_hours(1) <= (SELECT max(pickup_datetime) FROM clean) - to_hours(2)""",
+            """SELECT date_trunc('hour', pickup_datetime)::TIMESTAMP AS hour_start, pickup_borough,
+                      count(*) AS trip_count
+               FROM clean GROUP BY 1, 2""",
         ),
     }
+    for key in ("pickup_year", "pickup_month", "pickup_hour", "pickup_day_of_week"):
+        name = f"passengers_by_{key.removeprefix('pickup_')}_rollup"
+        direct[name] = _with(
+            ENRICHED, f"SELECT {key}, avg(passenger_count) AS avg_passengers FROM classified GROUP BY 1"
+        )
     again = ("borough_stats", "yearly_trends", "weekend_comparison")
     return direct | {f"{name}_rollup": direct[name] for name in again}
