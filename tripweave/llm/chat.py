@@ -26,6 +26,8 @@ from tripweave.llm.common import pieces
 CONTROLS = ("<turn>", "<body>", "</turn>")
 OPEN, BODY, CLOSE = range(3)
 LOSS_ROLE = "assistant"
+BATCH_BYTES = 1 << 20  # of text encoded together: the tokenizer keeps far more for each token than its id
+TURNS = 512  # decoded together
 _BREAKABLE = re.compile("|".join(f"(?<={re.escape(c[0])})(?={re.escape(c[1:])})" for c in CONTROLS))
 
 
@@ -51,7 +53,7 @@ def _tokenizer(stored: bytes):
 def assemble(roles: list[str], texts: list[str], stored: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Ids and loss mask of each turn. All turns are laid out end to end and then cut apart."""
     tokenizer, reserved = _tokenizer(stored)
-    encoded = tokenizer.encode_batch([escaped(x) for pair in zip(roles, texts) for x in pair], add_special_tokens=False)
+    encoded = tokenizer.encode_batch_fast([escaped(x) for pair in zip(roles, texts) for x in pair], add_special_tokens=False)
     segments = [np.array(e.ids, np.int32) for e in encoded]
     control = [np.array([reserved + c], np.int32) for c in range(len(CONTROLS))]
     spliced = [
@@ -78,7 +80,7 @@ def format_turns(turns: DataFrame, tokenizer_json: bytes) -> DataFrame:
     """
 
     def run(batches):
-        for batch in pieces(batches, text=3):
+        for batch in pieces(batches, text=3, limit=BATCH_BYTES):
             if batch.num_rows == 0:
                 continue
             roles, texts = ([x or "" for x in batch.column(i).to_pylist()] for i in (2, 3))
@@ -96,13 +98,19 @@ def format_turns(turns: DataFrame, tokenizer_json: bytes) -> DataFrame:
     )
 
 
-def read_back(ids: np.ndarray, mask: np.ndarray, stored: bytes) -> tuple[str, str, str]:
-    """Role, text and learnt text of one turn, from its ids and mask alone."""
+def read_back(ids: list[np.ndarray], masks: list[np.ndarray], stored: bytes) -> list[list[str]]:
+    """Roles, texts and learnt texts of turns, from their ids and masks alone."""
     tokenizer, reserved = _tokenizer(stored)
-    body = int(np.flatnonzero(ids == reserved + BODY)[0])
-    parts = (ids[1:body], ids[body + 1 : -1], ids[mask.astype(bool)])
-    role, text, learnt = tokenizer.decode_batch([p.tolist() for p in parts], skip_special_tokens=False)
-    return unescaped(role), unescaped(text), unescaped(learnt)
+    parts = []
+    for own, mask in zip(ids, masks):
+        body = int(np.flatnonzero(own == reserved + BODY)[0])
+        parts += [own[1:body].tolist(), own[body + 1 : -1].tolist(), own[mask.astype(bool)].tolist()]
+    texts = [unescaped(t) for t in tokenizer.decode_batch(parts, skip_special_tokens=False)]
+    return [texts[i::3] for i in range(3)]
+
+
+def _split(lists: pa.Array) -> list[np.ndarray]:
+    return np.split(lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().to_numpy())[:-1])
 
 
 class _Digest:
@@ -144,13 +152,12 @@ def digests(formatted: DataFrame, tokenizer_json: bytes) -> DataFrame:
 
     def decode(batches):
         names = ["conv_id", "turn", "role", "said", "learnt", "shown"]
-        for batch in batches:
-            ids, masks = (
-                [np.array(x, np.int32) for x in batch.column(i).to_pylist()] for i in (2, 3)
-            )
-            rows = [read_back(i, m, tokenizer_json) for i, m in zip(ids, masks)]
-            texts = [pa.array([r[i] for r in rows], pa.string()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *texts, batch.column(4)], names)
+        for whole in batches:
+            for at in range(0, whole.num_rows, TURNS):
+                batch = whole.slice(at, TURNS)
+                read = read_back(_split(batch.column(2)), _split(batch.column(3)), tokenizer_json)
+                texts = [pa.array(column, pa.string()) for column in read]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *texts, batch.column(4)], names)
 
     def run(batches):
         current, digest = None, None
