@@ -17,8 +17,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripweave.llm.common import settled
+
 LEAF = ("domain", "lang", "source")
 SLICES = 4096  # parts of a leaf's order; a part is added up by itself, so no leaf is ordered in one task
+WORD = r"[^ \t\n\x0B\f\r]"  # fixed value: a character of a word
 DIGITS = 15  # hexadecimal digits of the order
 
 
@@ -48,7 +51,7 @@ def _leaf_columns() -> dict:
     """Expressions over documents: domain, lang, source and tokens."""
     source = F.coalesce("source", F.lit("unknown"))
     domain = F.concat(F.lit("d"), F.conv(F.substring(F.md5(source), 1, 1), 16, 10).cast("int") % 4)
-    tokens = F.coalesce(F.regexp_count("text", F.lit(r"[^ \t\n\x0B\f\r]+")), F.lit(0)).cast("long")
+    tokens = F.coalesce(F.regexp_count("text", F.lit(f"{WORD}+")), F.lit(0)).cast("long")
     return {"domain": domain, "lang": F.coalesce("lang", F.lit("unknown")), "source": source, "tokens": tokens}
 
 
@@ -111,7 +114,9 @@ def mixed(tokens: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
     in its order until the budget is spent; of the last one only ``taken_tokens``. A
     document without tokens is never taken; a null id is ordered as an empty one.
     """
-    rows = tokens.where("tokens > 0").join(budgets(tokens, recipe), list(LEAF))
+    # both are written: texts are read once, and the engine knows how small the table of leaves is
+    tokens = settled(tokens, "tokens")
+    rows = tokens.where("tokens > 0").join(settled(budgets(tokens, recipe), "budgets"), list(LEAF))
     last = F.expr("least(budget div own, CAST({} AS BIGINT))".format(recipe.epochs - 1))
     rows = rows.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     rows = rows.withColumn("left", F.expr("budget - epoch * own")).where("left > 0")
@@ -132,16 +137,17 @@ def mixed(tokens: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
 def kept(docs: DataFrame, recipe: Recipe) -> DataFrame:
     """The rows of ``docs`` that a recipe of one epoch takes, whole and with all their columns.
 
-    Only the last place that each leaf takes is joined to the documents, so texts move no
-    further than the engine needs for that join.
+    Only the last place that each leaf takes is joined to the documents. That table has a
+    row for each leaf; the engine broadcasts it below its own threshold and otherwise
+    splits the leaves of many documents.
     """
     taken = mixed(tokens_of(docs), recipe).withColumn("place", _order(recipe.seed))
     key = F.struct("place", F.col("doc_id").alias("id"))
     cuts = taken.groupBy(*LEAF).agg(F.max(key).alias("cut"))
-    cuts = cuts.select(*(F.col(c).alias(f"leaf_{c}") for c in LEAF), "cut")
-    marks = {f"own_{name}": column for name, column in _leaf_columns().items()}
+    cuts = settled(cuts.select(*(F.col(c).alias(f"leaf_{c}") for c in LEAF), "cut"), "cuts")
+    marks = {f"own_{name}": column for name, column in _leaf_columns().items() if name != "tokens"}
     labelled = docs.withColumn("epoch", F.lit(0)).withColumns(marks | {"own_place": _order(recipe.seed)})
     same = [F.col(f"own_{c}") == F.col(f"leaf_{c}") for c in LEAF]
     joined = labelled.join(cuts, same[0] & same[1] & same[2])
     inside = F.struct(F.col("own_place").alias("place"), F.col("doc_id").alias("id")) <= F.col("cut")
-    return joined.where(inside & (F.col("own_tokens") > 0)).select(*docs.columns)
+    return joined.where(inside & F.col("text").rlike(WORD)).select(*docs.columns)
