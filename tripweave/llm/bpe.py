@@ -31,6 +31,7 @@ PATTERN = (
 _L, _N, _W = "A-Za-zªµºÀ-ÖØ-öø-ʯ", "0-9²³¹¼-¾", r"\t-\r \x85\xa0"
 LATIN = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_L}]+| ?[{_N}]+| ?[^{_W}{_L}{_N}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
 BEYOND_LATIN = re.compile("[\u02b0-\U0010ffff]")
+CHUNK = 4 << 20  # bytes of text whose new words are merged together
 CACHED_WORDS = 200_000  # a task forgets its words beyond this many and encodes them again when they recur
 SHIFT = np.int64(20)
 
@@ -194,9 +195,6 @@ def encode(docs: DataFrame, tokenizer_json: bytes) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
 
 
-CHUNK = 8 << 20
-
-
 def round_trip(docs: DataFrame, tokenizer_json: bytes) -> DataFrame:
     """Number and digest of every row's ids, and the digest of the text decoded from them.
 
