@@ -88,7 +88,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Rows without an id take part but name no component (one of such rows alone has a null name).
     """
     rows = settled(grouped(docs), "grouped")
-    named = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    # written, so that the join has an exchange on either side and the engine can split a large component
+    named = settled(rows.groupBy("component").agg(F.min("doc_id").alias("component_id")), "names")
     return rows.join(named, "component").select("doc_id", "fp", "component_id")
 
 
