@@ -34,9 +34,17 @@ except ModuleNotFoundError as missing:  # the subpackage and its pipeline are op
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Means of ratios are not exact binary fractions, so summation order shows in their last
+# Means of ratios and of durations are not exact binary fractions, so summation order shows in their last
 # digits; they are compared at four digits. Every other number is compared in full.
-INEXACT = ("avg_speed_mph", "avg_fare_per_mile", "speed_mph_sum", "fare_per_mile_sum")
+INEXACT = (
+    "avg_speed_mph",
+    "avg_fare_per_mile",
+    "avg_duration_mins",
+    "avg_time",
+    "speed_mph_sum",
+    "fare_per_mile_sum",
+    "trip_duration_mins_sum",
+)
 
 
 def _raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,6 +75,11 @@ def _insight(insight: insights.Insight) -> Query:
     return lambda spark, folder: _settled(insight(_clean(spark, folder), digits=None))
 
 
+def _rounded(insight: insights.Insight) -> Query:
+    """With the two digits of the reports."""
+    return lambda spark, folder: insight(_clean(spark, folder))
+
+
 def _from_rollup(insight: insights.Insight) -> Query:
     return lambda spark, folder: _settled(insight(rollup(_clean(spark, folder)), digits=None))
 
@@ -100,6 +113,21 @@ def schema_drift(spark: SparkSession, folder: str) -> DataFrame:
     return audit.schema_runs(sources.list_files(spark, _era_root(spark, folder), "*.parquet"))
 
 
+def one_file_standardized(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "one")
+    _raw(spark, folder).withColumnsRenamed(
+        {"pickup_datetime": "tpep_pickup_datetime", "dropoff_datetime": "tpep_dropoff_datetime"}
+    ).write.parquet(path)
+    return sources.read_file(spark, path)
+
+
+def written_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The borough statistics of a report written from one read of the cleaned table."""
+    path = scratch_path(spark, "report")
+    report.write_report(_clean(spark, folder), path)
+    return spark.read.parquet(f"{path}/insight=borough_stats")
+
+
 def compact_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "compact")
     writers.write_compact(_basic(spark, folder), path)
@@ -201,7 +229,9 @@ def queries() -> dict[str, Query]:
     if llm:
         named |= llm.queries() | {"pipeline": corpus_pipeline.run}
     return named | {
+        **{f"{i.name}_2_digits": _rounded(i) for i in insights.INSIGHTS},
         "airport_trips": _insight(insights.for_airports(fixtures.AIRPORT_BOROUGH)),
+        "airport_trips_2_digits": _rounded(insights.for_airports(fixtures.AIRPORT_BOROUGH)),
         "baseline_borough": lambda s, d: insights.baseline_borough(_basic(s, d)),
         "borough_counts": _insight(insights.borough_counts),
         "borough_means": _insight(insights.borough_means),
@@ -224,6 +254,8 @@ def queries() -> dict[str, Query]:
         "zone_join_broadcast": _joined("broadcast"),
         "standardized_union": standardized_union,
         "drifting_union": drifting_union,
+        "one_file_standardized": one_file_standardized,
+        "written_report": written_report,
         "schema_drift": schema_drift,
         "partitioned_roundtrip": lambda s, d: sources.read_clean(s, _written(s, d)),
         "pruned_year_month": lambda s, d: sources.read_clean(s, _written(s, d), (2012, 2013), (3, 4, 11)),

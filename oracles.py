@@ -6,6 +6,8 @@ is shared with the Spark side.
 
 from __future__ import annotations
 
+import re
+
 TRIPS = """
 zones AS (
   SELECT n_nationkey AS LocationID,
@@ -17,6 +19,7 @@ started AS (
   SELECT o_orderdate + to_years(CASE WHEN l_orderkey % 97 = 0 THEN 40 ELSE 16 END)
            + to_minutes((o_orderkey * 7919 + l_linenumber * 131) % 1440) AS pickup_datetime,
          (l_partkey * 37 + l_suppkey) % 260 - 5 AS u,
+         CASE WHEN l_partkey % 3 <> 0 THEN (l_partkey * 7 + l_linenumber * 13) % 60 ELSE 0 END AS s,
          CASE WHEN c_nationkey <> 24 THEN c_nationkey::BIGINT END AS PULocationID,
          CASE WHEN s_nationkey <> 24 THEN s_nationkey::BIGINT END AS DOLocationID,
          (l_quantity - 2) * 0.5::DOUBLE AS trip_distance,
@@ -30,7 +33,7 @@ started AS (
   JOIN supplier ON l_suppkey = s_suppkey
 ),
 trips AS (
-  SELECT pickup_datetime, pickup_datetime + to_minutes(u) AS dropoff_datetime,
+  SELECT pickup_datetime, pickup_datetime + to_minutes(u) + to_seconds(s) AS dropoff_datetime,
          PULocationID, DOLocationID, trip_distance, total_amount, passenger_count, airport_fee
   FROM started
 )"""
@@ -109,7 +112,7 @@ basic AS (
 ROWS = "count(*) AS trip_count"
 FARE = "avg(total_amount) AS avg_fare"
 LENGTH = "avg(trip_distance) AS avg_distance"
-TIME = "avg(trip_duration_mins) AS avg_duration_mins"
+TIME = "round(avg(trip_duration_mins), 4) AS avg_duration_mins"
 SPEED = "round(avg(speed_mph), 4) AS avg_speed_mph"
 
 DAY = """CASE pickup_day_of_week WHEN 1 THEN 'Sunday' WHEN 2 THEN 'Monday' WHEN 3 THEN 'Tuesday'
@@ -143,6 +146,33 @@ def _hidden_key(key: str, label: str, *measures: str) -> str:
     )
 
 
+# The means of each insight, as the reports round them.
+MEANS = {
+    "borough_stats": ("avg_fare", "avg_distance", "avg_duration_mins", "avg_passengers"),
+    "congestion_by_hour": ("avg_speed_mph", "avg_duration_mins"),
+    "yearly_trends": ("avg_fare", "avg_distance"),
+    "trip_categories": ("avg_cost", "avg_distance", "avg_passengers", "avg_duration_mins"),
+    "dow_patterns": ("avg_fare", "avg_speed_mph"),
+    "top_routes": ("avg_fare", "avg_distance"),
+    "monthly_patterns": ("avg_fare", "avg_distance", "avg_speed_mph"),
+    "airport_trips": ("avg_fare", "avg_distance", "avg_duration_mins"),
+    "passenger_patterns": ("avg_fare", "avg_distance", "avg_duration_mins"),
+    "fare_efficiency": ("avg_fare_per_mile", "avg_fare", "avg_distance"),
+    "weekend_comparison": ("avg_fare", "avg_distance", "avg_speed_mph", "avg_duration_mins"),
+    "peak_hours": ("avg_fare", "avg_speed_mph"),
+}
+
+
+ONE_DIGIT = {"trip_categories": ("avg_passengers",)}  # rounded shorter in the reports
+
+
+def _two_digits(statement: str, means: tuple[str, ...], shorter: tuple[str, ...] = ()) -> str:
+    """Full means, rounded once, as decimals: halves away from zero."""
+    full = re.sub(r"round\((avg\(\w+\)), 4\)", r"\1", statement)
+    shown = ", ".join(f"round({c}::DECIMAL(30, 10), {1 if c in shorter else 2})::DOUBLE AS {c}" for c in means)
+    return f"SELECT * REPLACE ({shown}) FROM ({full})"
+
+
 def _profile(ctes: str, table: str, columns: tuple[str, ...]) -> str:
     statistics = {
         "count": "count({c})",
@@ -209,7 +239,7 @@ def _rollup() -> str:
         "has_distance": ("route", "BOOLEAN"),
         "has_airport_fee": ("route", "BOOLEAN"),
     }
-    sums = {"passenger_count": "", "total_amount": "", "trip_distance": "", "trip_duration_mins": "", "speed_mph": "r",
+    sums = {"passenger_count": "", "total_amount": "", "trip_distance": "", "trip_duration_mins": "r", "speed_mph": "r",
             "fare_per_mile": "r", "airport_fee": ""}
     measures = ["count(*) AS trip_rows", "max(trip_duration_mins) AS trip_duration_mins_max"]
     for column, inexact in sums.items():
@@ -307,11 +337,12 @@ def statements() -> dict[str, str]:
                       avg(total_amount) AS avg_total_amount, max(trip_duration_mins) AS max_trip_duration,
                       count(*) AS total_trips FROM basic GROUP BY pickup_borough""",
         ),
+        "one_file_standardized": _with(TRIPS, "SELECT * FROM trips"),
         "borough_counts": _with(CLEAN, "SELECT pickup_borough, count(*) AS count FROM clean GROUP BY 1"),
         "borough_means": _with(
             CLEAN,
             """SELECT pickup_borough, avg(trip_distance) AS avg_dist, avg(total_amount) AS avg_cost,
-                      avg(trip_duration_mins) AS avg_time, avg(passenger_count) AS avg_passengers,
+                      round(avg(trip_duration_mins), 4) AS avg_time, avg(passenger_count) AS avg_passengers,
                       avg(airport_fee) AS avg_airport_fee FROM clean GROUP BY 1""",
         ),
         "year_range": _with(
@@ -418,5 +449,8 @@ def statements() -> dict[str, str]:
         direct[name] = _with(
             ENRICHED, f"SELECT {key}, avg(passenger_count) AS avg_passengers FROM classified GROUP BY 1"
         )
+    for name, means in MEANS.items():
+        direct[f"{name}_2_digits"] = _two_digits(direct[name], means, ONE_DIGIT.get(name, ()))
+    direct["written_report"] = direct["borough_stats_2_digits"]
     again = ("borough_stats", "yearly_trends", "weekend_comparison")
     return direct | {f"{name}_rollup": direct[name] for name in again}

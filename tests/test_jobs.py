@@ -64,7 +64,7 @@ def test_strict_job(spark, paths):
     ]
     assert [r["passenger_count"] for r in got] == [1, 1]
     stats, slowest = jobs.analytics(spark, paths["out"], str(paths["root"] / "report"))
-    assert stats.first()["samples"] == 13 and slowest.count() == 3
+    assert stats.first()["samples"] == 12 and slowest.count() == 3
     routes = spark.read.parquet(str(paths["root"] / "report" / "insight=top_routes"))
     assert routes.count() == 2
 

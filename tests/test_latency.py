@@ -7,6 +7,7 @@ import pytest
 
 from tripweave.operators.latency import latency_stats, slowest, tail_class
 from tripweave.operators.profile import RAW_NUMBERS, numeric_profile, preview, year_range
+from tripweave.operators import ranks
 from tripweave.operators.ranks import discrete_index, floor_index, order_statistics
 
 from conftest import plan_text
@@ -127,3 +128,11 @@ def test_year_range_and_preview(make_trips):
     trips = make_trips(early, {"dropoff": "2253-01-01 00:00:00"})
     assert tuple(year_range(trips).first()) == (2001, 2019, 1900, 2253)
     assert [r["pickup_datetime"].year for r in preview(trips, 1).collect()] == [2001]
+
+
+def test_spans_beyond_a_broadcast_give_the_same_ranks(spark, monkeypatch):
+    values = shapes()["skewed"]
+    monkeypatch.setattr(ranks, "BROADCAST_BYTES", 0)
+    row = latency_stats(samples(spark, values), direct_limit=100).first()
+    for name, p in PICKS.items():
+        assert row[name] == sorted(values)[int(len(values) * p)]

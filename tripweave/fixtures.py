@@ -51,6 +51,8 @@ def order_trips(spark: SparkSession, folder: str) -> DataFrame:
     )
     start = (F.col("o_orderkey") * 7919 + F.col("l_linenumber") * 131) % 1440
     length = (F.col("l_partkey") * 37 + F.col("l_suppkey")) % 260 - 5
+    # Seconds on top in two of three rows, so that durations have to be rounded.
+    seconds = F.when(F.col("l_partkey") % 3 != 0, (F.col("l_partkey") * 7 + F.col("l_linenumber") * 13) % 60).otherwise(0)
     passengers = ((F.col("l_linenumber") + F.col("l_partkey")) % 8).cast("int")
     located = {
         "PULocationID": F.when(F.col("c_nationkey") != 24, F.col("c_nationkey").cast("long")),
@@ -58,7 +60,7 @@ def order_trips(spark: SparkSession, folder: str) -> DataFrame:
     }
     return lines.select(
         F.timestamp_add("MINUTE", start, F.col("base")).alias("pickup_datetime"),
-        F.timestamp_add("MINUTE", start + length, F.col("base")).alias("dropoff_datetime"),
+        F.timestamp_add("SECOND", (start + length) * 60 + seconds, F.col("base")).alias("dropoff_datetime"),
         *[value.alias(name) for name, value in located.items()],
         ((F.col("l_quantity") - 2) * 0.5).alias("trip_distance"),
         (F.floor(F.col("l_extendedprice") * 4 / 50) / F.lit(4.0)).alias("total_amount"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripweave.operators.ranks import DIRECT_LIMIT, floor_index, group_key, order_statistics
+from tripweave.operators.ranks import DIRECT_LIMIT, floor_index, group_facts, order_statistics
 
 PERCENTILES = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
 HIGH_TAIL, MODERATE_TAIL = 3.0, 2.0
@@ -26,24 +26,23 @@ def latency_stats(
     A percentile is the sorted value at 0-based index ``floor(n * p)``. Without groups an
     empty input gives one row of zeros.
     """
-    measured = samples.filter(F.col(value).isNotNull())
+    groups = group_facts(samples, value, by)
     picks = {name: floor_index(p) for name, p in percentiles.items()}
     ranked = (
-        order_statistics(measured, value, picks, by, direct_limit)
+        order_statistics(samples, value, picks, by, direct_limit, facts=groups)
         .groupBy("key")
         .agg(*[F.max(F.when(F.col("pick") == name, F.col("value"))).alias(name) for name in picks])
         .withColumnRenamed("key", "rank_key")
     )
-    facts = [
-        F.count(F.lit(1)).alias("samples"),
-        F.min(value).alias("min_value"),
-        F.max(value).alias("max_value"),
-        F.avg(value).alias("mean_value"),
-    ]
-    totals = measured.groupBy(*by).agg(*facts).withColumn("key", group_key(by))
+    named = {"size": "samples", "lo": "min_value", "hi": "max_value", "mean": "mean_value"}
+    totals = groups.select("key", *[F.col(old).alias(new) for old, new in named.items()])
+    if not by:  # a row of zeros stands for no samples at all
+        one = samples.sparkSession.range(1).select(F.struct(F.lit(0).alias("_all")).alias("only"))
+        totals = one.join(totals, F.col("only") == F.col("key"), "left").withColumn("key", F.col("only"))
+        totals = totals.withColumn("samples", F.coalesce("samples", F.lit(0).cast("long")))
     numbers = ["min_value", "max_value", "mean_value", *picks]
     return totals.join(ranked, F.col("key") == F.col("rank_key"), "left").select(
-        *by, "samples", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in numbers]
+        *[F.col("key")[name].alias(name) for name in by], "samples", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in numbers]
     )
 
 

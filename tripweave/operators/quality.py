@@ -42,8 +42,15 @@ PICKUP_ZONE_PRESENT = _rule("pickup_zone_present", "PULocationID", Column.isNotN
 DROPOFF_ZONE_PRESENT = _rule("dropoff_zone_present", "DOLocationID", Column.isNotNull)
 PICKUP_TIME_PRESENT = _rule("pickup_time_present", "pickup_datetime", Column.isNotNull)
 DROPOFF_TIME_PRESENT = _rule("dropoff_time_present", "dropoff_datetime", Column.isNotNull)
-PICKUP_YEAR_RANGE = _rule("pickup_year_range", "pickup_datetime", lambda c: in_years(c, FIRST_YEAR, LAST_YEAR))
-DROPOFF_YEAR_RANGE = _rule("dropoff_year_range", "dropoff_datetime", lambda c: in_years(c, FIRST_YEAR, LAST_YEAR))
+
+
+def year_rules(first: int = FIRST_YEAR, last: int = LAST_YEAR) -> tuple[Rule, Rule]:
+    """Both ends of a trip lie in a span of years."""
+    return (
+        _rule("pickup_year_range", "pickup_datetime", lambda c: in_years(c, first, last)),
+        _rule("dropoff_year_range", "dropoff_datetime", lambda c: in_years(c, first, last)),
+    )
+
 
 BASIC_RULES = (
     DISTANCE_POSITIVE,
@@ -53,7 +60,7 @@ BASIC_RULES = (
     DURATION_CAP,
 )
 
-STRICT_RULES = (
+SOUND_RULES = (
     DISTANCE_POSITIVE,
     DISTANCE_CAP,
     AMOUNT_POSITIVE,
@@ -66,11 +73,17 @@ STRICT_RULES = (
     DROPOFF_ZONE_PRESENT,
     PICKUP_TIME_PRESENT,
     DROPOFF_TIME_PRESENT,
-    PICKUP_YEAR_RANGE,
-    DROPOFF_YEAR_RANGE,
 )
 
 
+def strict_rules(first: int = FIRST_YEAR, last: int = LAST_YEAR) -> tuple[Rule, ...]:
+    """All rules of the strict job, for trips of these years."""
+    return (*SOUND_RULES, *year_rules(first, last))
+
+
+STRICT_RULES = strict_rules()
+
+
 def fill_defaults(trips: DataFrame) -> DataFrame:
     """Null passengers become 1, a null airport fee 0.0."""
     return trips.fillna(FILLS)
@@ -115,28 +128,23 @@ def attrition(trips: DataFrame, rules: Sequence[Rule] = STRICT_RULES) -> DataFra
     and ``removed_pct`` (share of all rows removed up to and including this rule).
     Expects the columns the rules test, so call it after ``with_duration``.
     """
-    passed = [f"passed_{step}" for step in range(len(rules))]
-    judged = trips.select(*[rule.holds().alias(name) for rule, name in zip(rules, passed, strict=True)])
-    # The step that removes a row: one number from which every survivor count follows.
-    removed_at = F.lit(len(rules))
-    for step, name in reversed(list(enumerate(passed))):
-        removed_at = F.when(~F.col(name), step).otherwise(removed_at)
-    totals = judged.withColumn("removed_at", removed_at).agg(
+    judged = trips.select(F.array(*[rule.holds() for rule in rules]).alias("passed"))
+    # The rule that removes a row (0: none): one number from which every survivor count follows.
+    removed = judged.withColumn("removed_at", F.expr("array_position(passed, false)"))
+    steps = range(len(rules))
+    totals = removed.agg(
         F.count(F.lit(1)).alias("total"),
-        *[F.count_if(~F.col(name)).alias(f"failing_{step}") for step, name in enumerate(passed)],
-        *[F.count_if(F.col("removed_at") > step).alias(f"after_{step}") for step in range(len(rules))],
+        F.expr(f"array({', '.join(f'count_if(NOT passed[{i}])' for i in steps)})").alias("failing"),
+        F.expr(f"array({', '.join(f'count_if(removed_at = {i + 1})' for i in steps)})").alias("gone"),
+    )
+    names = F.array(*[F.lit(rule.name) for rule in rules])
+    rows = totals.select("total", "failing", "gone", F.posexplode(names).alias("at", "rule"))
+    lost = "aggregate(slice(gone, 1, {}), 0L, (upto, n) -> upto + n)"
+    return rows.select(
+        (F.col("at") + 1).alias("step"),
+        "rule",
+        F.expr(f"total - {lost.format('at')}").alias("rows_before"),
+        F.expr(f"total - {lost.format('at + 1')}").alias("rows_after"),
+        F.expr("failing[at]").alias("failing_alone"),
+        F.expr(f"try_divide(100.0D * {lost.format('at + 1')}, total)").alias("removed_pct"),
     )
-    rows = [
-        F.struct(
-            F.lit(step + 1).alias("step"),
-            F.lit(rule.name).alias("rule"),
-            F.col(f"after_{step - 1}" if step else "total").alias("rows_before"),
-            F.col(f"after_{step}").alias("rows_after"),
-            F.col(f"failing_{step}").alias("failing_alone"),
-            F.try_divide(
-                F.lit(100.0) * (F.col("total") - F.col(f"after_{step}")), F.col("total")
-            ).alias("removed_pct"),
-        )
-        for step, rule in enumerate(rules)
-    ]
-    return totals.select(F.inline(F.array(*rows)))

@@ -9,11 +9,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from tripweave.session import ensure_checkpoints
+from tripweave.session import ensure_checkpoints, scratch_path
 
 DIRECT_LIMIT = 2_000_000
 BINS = 1024
-BROADCAST_SPANS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+SPAN_BYTES = 256  # of a span besides its key
+SALTS = 64
 
 Pick = Callable[[Column], Column]
 
@@ -33,6 +35,33 @@ def group_key(by: Sequence[str]) -> Column:
     return F.struct(*by) if by else F.struct(F.lit(0).alias("_all"))
 
 
+def group_facts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """One row per group with a value: ``key, size, mean, variety, lo, hi, start, stop``.
+
+    From one scan; kept in the checkpoint folder, since several steps read it.
+    """
+    ensure_checkpoints(df.sparkSession)
+    finite = F.when(~F.isnan("v") & (F.abs("v") != F.lit(float("inf"))), F.col("v"))
+    return (
+        _keyed(df, value, by)
+        .groupBy("key")
+        .agg(
+            F.count(F.lit(1)).alias("size"),
+            F.avg("v").alias("mean"),
+            F.approx_count_distinct("v").alias("variety"),
+            F.min("v").alias("lo"),
+            F.max("v").alias("hi"),
+            F.min(finite).alias("start"),
+            F.max(finite).alias("stop"),
+        )
+        .checkpoint()
+    )
+
+
+def _keyed(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    return df.select(group_key(by).alias("key"), F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
+
+
 def order_statistics(
     df: DataFrame,
     value: str,
@@ -40,6 +69,7 @@ def order_statistics(
     by: Sequence[str] = (),
     direct_limit: int = DIRECT_LIMIT,
     bins: int = BINS,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """Values at given ranks: columns ``key`` (struct of ``by``), ``pick`` and ``value``.
 
@@ -50,28 +80,18 @@ def order_statistics(
     keeps the part the rank falls in, so only counts are shuffled. A span ends when it
     holds few distinct values. The bounds of a span are the smallest and largest value
     inside it, so the result does not depend on row order or on how tasks are retried;
-    distinct values are estimated, which only decides when to stop narrowing.
+    distinct values are estimated, which only decides when to stop narrowing. Pass
+    ``facts`` to reuse those of ``group_facts``.
     """
-    rows = df.select(group_key(by).alias("key"), F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
-    finite = F.when(~F.isnan("v") & (F.abs("v") != F.lit(float("inf"))), F.col("v"))
-    spans = rows.groupBy("key").agg(
-        F.count(F.lit(1)).alias("size"),
-        F.approx_count_distinct("v").alias("variety"),
-        F.min("v").alias("lo"),
-        F.max("v").alias("hi"),
-        F.min(finite).alias("start"),
-        F.max(finite).alias("stop"),
-    )
-    spans = spans.persist()  # one small row per group, read twice
-    try:
-        if (spans.agg(F.max("variety")).first()[0] or 0) <= direct_limit:
-            return _direct(rows, picks)
-        ensure_checkpoints(df.sparkSession)
-        placed = spans.withColumns({"below": F.lit(0).cast("long"), "wanted": _wanted(picks)})
-        start = placed.drop("size").checkpoint()
-    finally:
-        spans.unpersist()
-    return _narrowed(rows, start, direct_limit, bins)
+    rows = _keyed(df, value, by)
+    facts = group_facts(df, value, by) if facts is None else facts
+    if (facts.agg(F.max("variety")).first()[0] or 0) <= direct_limit:
+        return _direct(rows, picks)
+    spans = facts.withColumns({"below": F.lit(0).cast("long"), "wanted": _wanted(picks)}).drop("size", "mean")
+    # Every pass reads the values again: written once, whatever made them runs once.
+    path = scratch_path(df.sparkSession, "ranks")
+    rows.write.parquet(path)
+    return _narrowed(df.sparkSession.read.schema(rows.schema).parquet(path), spans.checkpoint(), direct_limit, bins)
 
 
 def _wanted(picks: Mapping[str, Pick]) -> Column:
@@ -100,29 +120,34 @@ def _direct(rows: DataFrame, picks: Mapping[str, Pick]) -> DataFrame:
 
 def _narrowed(rows: DataFrame, spans: DataFrame, direct_limit: int, bins: int) -> DataFrame:
     oversized = (F.col("lo") < F.col("hi")) & (F.col("variety") > direct_limit)
-    while open_spans := spans.filter(oversized).count():
-        split = _split(rows, spans.filter(oversized), open_spans, bins)
-        spans = spans.filter(~oversized).unionByName(split).checkpoint()
+    while not (wide := spans.filter(oversized)).isEmpty():
+        spans = spans.filter(~oversized).unionByName(_split(rows, wide, bins)).checkpoint()
     settled = spans.filter(F.col("lo") == F.col("hi")).select(
         "key", F.explode("wanted").alias("w"), F.col("lo").alias("value")
     )
     rest = spans.filter(F.col("lo") < F.col("hi"))
-    inside = _inside(rows, rest, rest.count())
-    tally = inside.groupBy("key", "lo", "v").agg(F.count(F.lit(1)).alias("c"))
+    tally = _inside(rows, rest).groupBy("key", "lo", "v").agg(F.count(F.lit(1)).alias("c"))
     ranked = _rank_tally(tally, rest.select("key", "lo", "below", "wanted"))
     return settled.select("key", "w.pick", "value").unionByName(ranked)
 
 
-def _inside(rows: DataFrame, spans: DataFrame, count: int) -> DataFrame:
-    """Rows with the span they fall in; spans of one group do not overlap."""
+def _inside(rows: DataFrame, spans: DataFrame, limit: int | None = None) -> DataFrame:
+    """Rows with the span they fall in; spans of one group do not overlap.
+
+    Spans whose measured size allows it are sent to every task. Beyond that both sides are
+    shuffled, the rows of a group over many keys, so that a large group is spread.
+    """
     side = spans.select(F.col("key").alias("span_key"), "lo", "hi", "start", "stop")
-    if count <= BROADCAST_SPANS:
-        side = F.broadcast(side)
     hit = (F.col("key") == F.col("span_key")) & (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
-    return rows.join(side, hit, "inner").drop("span_key")
+    size = side.agg(F.sum(F.octet_length(F.to_json("span_key")) + SPAN_BYTES)).first()[0] or 0
+    if size <= (BROADCAST_BYTES if limit is None else limit):
+        return rows.join(F.broadcast(side), hit, "inner").drop("span_key")
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    copies = side.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    return salted.join(copies, hit & (F.col("salt") == F.col("copy")), "inner").drop("span_key", "salt", "copy")
 
 
-def _split(rows: DataFrame, spans: DataFrame, count: int, bins: int) -> DataFrame:
+def _split(rows: DataFrame, spans: DataFrame, bins: int) -> DataFrame:
     """Replace each span by the parts of it that hold a wanted rank."""
     v, start, stop = F.col("v"), F.col("start"), F.col("stop")
     infinity = F.lit(float("inf"))
@@ -137,7 +162,7 @@ def _split(rows: DataFrame, spans: DataFrame, count: int, bins: int) -> DataFram
         .otherwise((v > start).cast("int"))
     )
     histogram = (
-        _inside(rows, spans, count)
+        _inside(rows, spans)
         .groupBy("key", F.col("lo").alias("span_lo"), part.alias("part"))
         .agg(
             F.count(F.lit(1)).alias("c"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.operators.quality import BASIC_RULES, STRICT_RULES, clean
+from tripweave.operators.quality import BASIC_RULES, STRICT_RULES, Rule, clean
 from tripweave.operators.zones import ZoneFacts, with_zones
 from tripweave.schemas import CLEAN_SCHEMA, EXCLUDED_BOROUGHS
 
@@ -19,9 +19,13 @@ def clean_trips(
     zone: str | None = None,
     strategy: str = "auto",
     facts: ZoneFacts | None = None,
+    rules: Sequence[Rule] = STRICT_RULES,
 ) -> DataFrame:
-    """Fill, strict rules, zone lookup: the table every analysis starts from."""
-    valid = clean(trips, STRICT_RULES, zone=zone)
+    """Fill, strict rules, zone lookup: the table every analysis starts from.
+
+    ``rules=strict_rules(first, last)`` takes other years than the default ones.
+    """
+    valid = clean(trips, rules, zone=zone)
     return with_zones(valid, zones, exclude, strategy, facts=facts).select(*CLEAN_SCHEMA.names)
 
 

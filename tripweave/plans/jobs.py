@@ -43,7 +43,7 @@ def basic_etl(
 
 def analytics(spark: SparkSession, clean_path: str, out_path: str, **options: object) -> tuple[DataFrame, DataFrame]:
     """Write the twelve insights; returns latency statistics and the slowest queries."""
-    return timing_summary(write_report(read_clean(spark, clean_path), out_path, **options))
+    return timing_summary(write_report(read_clean(spark, clean_path), out_path, **options).timings)
 
 
 def inspect_files(
