@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripweave.llm.common import pieces
+
 # The base patterns, in the order in which spans with one start are listed.
 BASE = {
     "assign": re.compile(
@@ -52,6 +54,7 @@ DATE = re.compile(
     r"|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d)"
 )
 LEET = str.maketrans("013457@$!", "oieastasi")
+REMEMBERED = 128  # characters of a value whose cost is kept for when it recurs
 SEGMENT = math.log10(4)  # what it costs to know where another segment starts
 
 
@@ -69,7 +72,11 @@ class GuessCost:
         for rank, word in enumerate(words, 2):
             self.ranks.setdefault(word, math.log10(rank))
         self.longest = max(map(len, self.ranks), default=0)
-        self.of = lru_cache(1 << 14)(self._of)
+        self._remembered = lru_cache(1 << 14)(self._of)
+
+    def of(self, value: str) -> float:
+        """The guess cost; short values recur and are remembered, long ones would fill the memory."""
+        return self._remembered(value) if len(value) <= REMEMBERED else self._of(value)
 
     def _of(self, value: str) -> float:
         n, arriving = len(value), [[] for _ in range(len(value) + 1)]
@@ -161,7 +168,7 @@ def scan(docs: DataFrame, words: Iterable[str] = WORDS, costly: float = COSTLY)
 
     def run(batches):
         cost = GuessCost(words)
-        for batch in batches:
+        for batch in pieces(batches):
             rows = []
             for text in batch.column(1).to_pylist():
                 base = base_spans(text or "")
@@ -187,10 +194,11 @@ def redacted(docs: DataFrame, mask: str = "[secret]", costly: float = COSTLY) ->
     where there is such a column. A null text stays null.
     """
 
+    place = docs.columns.index("text")
+
     def run(batches):
         cost = GuessCost()
-        for batch in batches:
-            place = batch.schema.get_field_index("text")
+        for batch in pieces(batches, place):
             texts = [None if t is None else hidden(t, cost, mask, costly) for t in batch.column(place).to_pylist()]
             yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
 

@@ -152,7 +152,7 @@ def predict(docs: DataFrame, profiles: Profiles) -> DataFrame:
     """
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             found = [profiles.classify(text) for text in batch.column(1).to_pylist()]
             columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "lang_pred", "score"])

@@ -14,6 +14,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from tripweave.llm.common import pieces
+
 
 @dataclass(frozen=True)
 class Notice:
@@ -56,9 +58,11 @@ def normalized(text: bytes) -> tuple[bytes, int]:
 
 def places(words: bytes, phrase: str) -> list[int]:
     """Numbers of the words at which a phrase starts."""
-    sought, found, at = f" {phrase} ".encode(), [], -1
+    sought, found, at, counted, spaces = f" {phrase} ".encode(), [], -1, 0, 0
     while (at := words.find(sought, at + 1)) >= 0:
-        found.append(words.count(b" ", 0, at))
+        spaces += words.count(b" ", counted, at)
+        counted = at
+        found.append(spaces)
     return found
 
 
@@ -83,13 +87,16 @@ def fuzzy(words: bytes, notices: tuple[Notice, ...] = NOTICES) -> list[tuple[str
                 # in bytes: an inserted character may take four
                 reach = 4 * notice.edits + 2
                 windows.append((max(0, at - offset - reach), at - offset + len(notice.words) + reach))
+        counted = spaces = 0  # so far; windows and matches ascend, so each byte is counted once
         for start, stop in _joined(windows):
-            piece = words[_edge(words, start) : _edge(words, min(stop, len(words)))].decode("utf-8")
-            base = words[: _edge(words, start)].count(b" ")
+            start = _edge(words, start)
+            piece = words[start : _edge(words, min(stop, len(words)))].decode("utf-8")
+            spaces += words.count(b" ", counted, start)
+            counted, inside, seen = start, 0, 0
             for match in pattern.finditer(piece):
-                text = match[0]
-                first = base + piece.count(" ", 0, match.start()) - 1
-                found.append((notice.label, max(0, first), text.strip().count(" ") + 1, sum(match.fuzzy_counts)))
+                inside += piece.count(" ", seen, match.start())
+                seen, first = match.start(), spaces + inside - 1
+                found.append((notice.label, max(0, first), match[0].strip().count(" ") + 1, sum(match.fuzzy_counts)))
     return found
 
 
@@ -150,7 +157,7 @@ def scan(docs: DataFrame, notices: tuple[Notice, ...] = NOTICES) -> DataFrame:
     """
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             rows = [judged((text or "").encode(), notices) for text in batch.column(1).to_pylist()]
             columns = [pa.array([row[i] for row in rows], kind) for i, (_, kind) in enumerate(FIELDS)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *(n for n, _ in FIELDS)])

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import components, settled
+from tripweave.llm.common import components, pieces, settled
 
 SEED = 42
 SHINGLE = 3
@@ -53,7 +53,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, fp`` for every row, from its whole text, without a shuffle. A null text has no words."""
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches, 2):
             found = [fingerprint((text or "").encode()) for text in batch.column(2).to_pylist()]
             columns = [batch.column(0), batch.column(1), pa.array(found, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "fp"])
