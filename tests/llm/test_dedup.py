@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 import xxhash
 from conftest import TINY
+from pyspark.sql import functions as F
 
 from tripweave.llm import queries, simhash, suffixes
 from tripweave.llm.common import components, table
@@ -97,6 +98,7 @@ def test_one_of_each(spark):
     assert kept.columns == docs.columns
     groups = {(p, c) for _, p, c in grouped_by_hand(awkward.texts_of(docs))}  # here a fingerprint is a group
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(c for _, c in groups)
+    assert set(awkward.by_row(kept.withColumn("ids", F.hex("ids")))) <= set(awkward.by_row(docs.withColumn("ids", F.hex("ids"))))
     assert simhash.one_of_each(awkward.empty(spark)).count() == 0
 
 

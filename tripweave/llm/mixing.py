@@ -102,8 +102,8 @@ def budgets(tokens: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
     return budget.select(*LEAF, "own", F.col("share").alias("budget"))
 
 
-def _order(seed: int):
-    text = F.concat_ws(":", F.lit(str(seed)), F.col("epoch").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+def _order(seed: int, epoch):
+    text = F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     return F.conv(F.substring(F.md5(text), 1, DIGITS), 16, 10).cast("long")
 
 
@@ -121,7 +121,7 @@ def mixed(tokens: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
     rows = rows.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     rows = rows.withColumn("left", F.expr("budget - epoch * own")).where("left > 0")
     whole = rows.where("left >= own").withColumn("taken_tokens", F.col("tokens"))
-    part = rows.where("left < own").withColumn("place", _order(recipe.seed))
+    part = rows.where("left < own").withColumn("place", _order(recipe.seed, F.col("epoch")))
     part = part.withColumn("slice", F.expr(f"place div {16**DIGITS // SLICES}"))
     sums = part.groupBy(*LEAF, "slice").agg(F.sum("tokens").alias("in_slice"), F.first("left").alias("spend"))
     earlier = Window.partitionBy(*LEAF).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -141,13 +141,17 @@ def kept(docs: DataFrame, recipe: Recipe) -> DataFrame:
     row for each leaf; the engine broadcasts it below its own threshold and otherwise
     splits the leaves of many documents.
     """
-    taken = mixed(tokens_of(docs), recipe).withColumn("place", _order(recipe.seed))
+    taken = mixed(tokens_of(docs), recipe).withColumn("place", _order(recipe.seed, F.col("epoch")))
     key = F.struct("place", F.col("doc_id").alias("id"))
     cuts = taken.groupBy(*LEAF).agg(F.max(key).alias("cut"))
     cuts = settled(cuts.select(*(F.col(c).alias(f"leaf_{c}") for c in LEAF), "cut"), "cuts")
-    marks = {f"own_{name}": column for name, column in _leaf_columns().items() if name != "tokens"}
-    labelled = docs.withColumn("epoch", F.lit(0)).withColumns(marks | {"own_place": _order(recipe.seed)})
-    same = [F.col(f"own_{c}") == F.col(f"leaf_{c}") for c in LEAF]
+    own = {name: column for name, column in _leaf_columns().items() if name != "tokens"}
+    # a row travels as one struct, so that its columns may have any names
+    labelled = docs.where(F.col("text").rlike(WORD)).select(
+        F.struct("*").alias("row"),
+        *(column.alias(name) for name, column in own.items()),
+        F.struct(_order(recipe.seed, F.lit(0)).alias("place"), F.col("doc_id").alias("id")).alias("at"),
+    )
+    same = [F.col(c) == F.col(f"leaf_{c}") for c in LEAF]
     joined = labelled.join(cuts, same[0] & same[1] & same[2])
-    inside = F.struct(F.col("own_place").alias("place"), F.col("doc_id").alias("id")) <= F.col("cut")
-    return joined.where(inside & F.col("text").rlike(WORD)).select(*docs.columns)
+    return joined.where(F.col("at") <= F.col("cut")).select("row.*")

@@ -106,6 +106,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     order = F.struct(F.isnull("doc_id").alias("nameless"), "doc_id", "text_hash")
     first = grouped(docs).groupBy("component").agg(F.min(order).alias("first"))
     staying = first.select(F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
-    own = F.expr("doc_id <=> first_id AND xxhash64(text) = first_hash")
-    kept = docs.join(staying, own, "left_semi")
-    return kept.withColumn("first_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "first_hash"]).drop("first_hash")
+    # a row travels as one struct, so that its columns may have any names
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"))
+    kept = rows.join(staying, F.expr("doc_id <=> first_id AND text_hash = first_hash"), "left_semi")
+    return kept.dropDuplicates(["doc_id", "text_hash"]).select("row.*")
