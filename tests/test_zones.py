@@ -66,6 +66,18 @@ def test_a_hot_zone_spreads_over_tasks(spark, make_trips, zones):
     assert len(sizes) == 16 and max(sizes) < 150
 
 
+def test_only_measured_hot_zones_are_cut(spark, make_trips, zones):
+    from pyspark.sql import functions as F
+
+    once = make_trips({"PULocationID": 7, "DOLocationID": 1}, {"PULocationID": None})
+    amounts = F.explode(F.sequence(F.lit(1), F.lit(1000)).cast("array<double>"))
+    trips = once.unionByName(make_trips({"DOLocationID": 4}).withColumn("total_amount", amounts))
+    assert lookup.hot_zones(trips) == {"pickup": {4: 8}, "dropoff": {4: 8}}
+    assert lookup.hot_zones(trips.limit(0)) == {"pickup": {}, "dropoff": {}}
+    merged = lookup.with_zones(trips, zones, strategy="merge")
+    assert merged.exceptAll(lookup.with_zones(trips, zones)).count() == 0 and merged.count() == 1001
+
+
 def test_clean_jobs(make_trips, zones):
     trips = make_trips({}, {"passenger_count": None}, {"trip_distance": 5000.0}, {"trip_distance": -1.0})
     strict = clean_trips(trips, zones)

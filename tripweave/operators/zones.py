@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ from tripweave.schemas import EXCLUDED_BOROUGHS
 
 BROADCAST_MAX_ROWS = 200_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+HOT_SHARE = 1 / 128  # of all trips; so at most 128 ids in a role are hot
 ROLES = (("pickup", "PULocationID"), ("dropoff", "DOLocationID"))
 
 
@@ -59,7 +61,7 @@ def with_zones(
     exclude: Sequence[str] = EXCLUDED_BOROUGHS,
     strategy: str = "auto",
     details: bool = False,
-    salts: int = 16,
+    salts: int | None = None,
     facts: ZoneFacts | None = None,
 ) -> DataFrame:
     """Inner-join the zones twice and add ``pickup_borough`` and ``dropoff_borough``.
@@ -68,6 +70,11 @@ def with_zones(
     beyond that, or with ``merge``, both joins are shuffled. ``broadcast`` insists, and
     fails on a table over the bound. ``details`` also adds ``*_zone`` and
     ``*_service_zone``. Pass ``facts`` to reuse an earlier measurement.
+
+    Before shuffled joins the trips are counted by id (one job, combined map-side), and a
+    zone of over ``HOT_SHARE`` of them is cut into as many pieces as its share of the
+    shuffle partitions; ``salts`` skips the count and cuts every zone into so many.
+    Streamed trips cannot be counted beforehand and are not cut.
     """
     if strategy not in ("auto", "broadcast", "merge"):
         raise ValueError(f"unknown join strategy {strategy!r}")
@@ -76,13 +83,15 @@ def with_zones(
         raise ValueError(f"zone table too large to broadcast: {facts}")
     broadcast = facts.broadcastable and strategy != "merge"
     lookup = usable_zones(zones, exclude)
-    joined = trips
+    joined, pieces = trips, {}
+    if not broadcast and salts is None and not trips.isStreaming:
+        pieces = hot_zones(trips)
     for role, key in ROLES:
         side = _role_side(lookup, role, details)
         if broadcast:
             joined = joined.join(F.broadcast(side), F.col(key) == F.col(f"{role}_id"), "inner")
         else:
-            joined = _salted_merge(joined, side, key, f"{role}_id", salts)
+            joined = _salted_merge(joined, side, key, f"{role}_id", salts or pieces.get(role, 1))
     return joined.drop(*[f"{role}_id" for role, _ in ROLES])
 
 
@@ -93,18 +102,50 @@ def _role_side(lookup: DataFrame, role: str, details: bool) -> DataFrame:
     return lookup.select(*[F.col(old).alias(new) for old, new in columns.items()])
 
 
-def _salted_merge(trips: DataFrame, side: DataFrame, key: str, side_key: str, salts: int) -> DataFrame:
-    """Sort-merge join in which one zone's trips spread over ``salts`` shuffle keys.
-
-    The salt is a hash of the row, so a retried task repeats it exactly. Identical rows
-    share a salt; AQE's skew-join split handles what they pile up.
+def hot_zones(trips: DataFrame) -> dict[str, dict[int, int]]:
+    """Per role the ids of over ``HOT_SHARE`` of the trips, and how many shuffle partitions their share fills."""
+    partitions = int(trips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ends = F.array(*[F.struct(F.lit(role).alias("role"), F.col(key).cast("long").alias("id")) for role, key in ROLES])
+    counts = (
+        trips.select(F.explode(ends).alias("end"))
+        .select("end.*")
+        .groupingSets([["role", "id"], ["role"]], "role", "id")
+        .agg(F.grouping("id").alias("all"), F.count("*").alias("n"))
+    )
+    # a total comes before the ids it adds up, and no more ids than this can be hot
+    top = counts.orderBy(F.desc("all"), F.desc("n"), "id").limit(len(ROLES) * (1 + math.ceil(1 / HOT_SHARE))).collect()
+    totals = {r["role"]: r["n"] for r in top if r["all"]}
+    hot: dict[str, dict[int, int]] = {role: {} for role, _ in ROLES}
+    for r in top:
+        share = r["n"] / totals[r["role"]]
+        if not r["all"] and r["id"] is not None and share > HOT_SHARE:
+            hot[r["role"]][r["id"]] = math.ceil(share * partitions)
+    return hot
+
+
+def _salted_merge(trips: DataFrame, side: DataFrame, key: str, side_key: str, salts: int | Mapping[int, int]) -> DataFrame:
+    """Sort-merge join in which one zone's trips spread over several shuffle keys.
+
+    ``salts`` is how many for each zone, or a mapping for the hot ones alone. The salt is
+    a hash of the row, so a retried task repeats it exactly. Identical rows share a salt;
+    AQE's skew-join split handles what they pile up.
     """
-    salted = trips.withColumn("_salt", F.pmod(F.xxhash64(*_salt_columns(trips)), F.lit(salts)))
-    copies = side.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
+    salted = trips.withColumn("_salt", F.pmod(F.xxhash64(*_salt_columns(trips)), _pieces(key, salts)))
+    numbers = F.sequence(F.lit(0), _pieces(side_key, salts) - 1).cast("array<bigint>")
+    copies = side.withColumn("_copy", F.explode(numbers))
     same: Column = (F.col(key) == F.col(side_key)) & (F.col("_salt") == F.col("_copy"))
     return salted.join(copies.hint("merge"), same, "inner").drop("_salt", "_copy")
 
 
+def _pieces(key: str, salts: int | Mapping[int, int]) -> Column:
+    if isinstance(salts, int):
+        return F.lit(salts)
+    if not salts:
+        return F.lit(1)
+    known = F.create_map(*[x for i, n in sorted(salts.items()) for x in (F.lit(i).cast("long"), F.lit(n))])
+    return F.coalesce(F.try_element_at(known, F.col(key).cast("long")), F.lit(1))
+
+
 def _salt_columns(trips: DataFrame) -> list[Column]:
     wanted = ("pickup_datetime", "dropoff_datetime", "PULocationID", "DOLocationID", "trip_distance", "total_amount")
     return [F.col(c) for c in wanted if c in trips.columns] or [F.col(c) for c in trips.columns]
