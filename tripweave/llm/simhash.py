@@ -10,6 +10,8 @@ joins all of them without making all pairs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -25,19 +27,25 @@ RADIUS = 2
 
 def fingerprint(text: bytes) -> int:
     """The fingerprint of a text as a signed long."""
+    hashes = shingles(text, SHINGLE)
+    return majority(hashes) if len(hashes) else 0
+
+
+def shingles(text: bytes, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words, repeats included; of all words if there are fewer."""
     words = text.lower().split()  # for bytes: A-Z, and the six ASCII spaces
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
-    if len(words) < SHINGLE:
+    if len(words) < size:
         hashes = [xxhash.xxh64_intdigest(joined, SEED)]
     else:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         stops = np.cumsum(lengths + 1) - 1
         starts = stops - lengths
-        spans = zip(starts[: 1 - SHINGLE].tolist(), stops[SHINGLE - 1 :].tolist())
+        spans = zip(starts[: len(words) - size + 1].tolist(), stops[size - 1 :].tolist())
         hashes = [xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in spans]
-    return majority(np.array(hashes, "<u8"))
+    return np.array(hashes, "<u8")
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -97,14 +105,16 @@ def hex_digits(column: str):
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, groups: Callable[[DataFrame], DataFrame] = grouped) -> DataFrame:
     """``docs`` with one row of every near-duplicate group: that of the smallest id.
 
+    ``groups`` gives ``doc_id, text_hash, component`` for every row.
+
     Rows that repeat an id are ordered by a hash of their text, rows without an id come
     last; of equal rows one stays.
     """
     order = F.struct(F.isnull("doc_id").alias("nameless"), "doc_id", "text_hash")
-    first = grouped(docs).groupBy("component").agg(F.min(order).alias("first"))
+    first = groups(docs).groupBy("component").agg(F.min(order).alias("first"))
     staying = first.select(F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
     # a row travels as one struct, so that its columns may have any names
     rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"))
