@@ -177,3 +177,19 @@ def test_suffix_dedup_of_awkward_rows(spark):
 
 def test_registered(spark):
     assert set(queries.op8_simhash(spark, TINY).columns) == {"doc_id", "fingerprint", "component_id"}
+
+
+def test_suffix_dedup_keeps_the_text_of_repeated_rows(spark):
+    """Equal rows of one id are one document, in one batch and across batches."""
+    rng = random.Random(9)
+    rows = repeating(rng)
+    again = [row for row in rows if row[0] is None or row[0] % 3 == 0]
+    expected = removed_by_hand(rows)
+    expected = Counter({row: n * (1 + (row[0] is None or row[0] % 3 == 0)) for row, n in expected.items()})
+    alone = " ".join(f"only{rng.randrange(10**6)}" for _ in range(60))
+    docs = spark.createDataFrame(rows + again + [(900, alone)] * 2, "doc_id long, text string")
+    expected[(900, len(alone), 0, 0, hashlib.sha256(alone.encode()).hexdigest())] = 2
+    for parts in (1, 7):
+        assert Counter(map(tuple, suffixes.measure(docs.repartition(parts)).collect())) == expected
+    kept = suffixes.cut(docs).where("doc_id = 900").collect()
+    assert [bytes(r["kept"]).decode() for r in kept] == [alone] * 2

@@ -228,14 +228,18 @@ class Entries:
         return Entries(*(c[at] for c in self.columns))
 
     def sorted(self) -> Entries:
-        """By key, then extent, document, part and place."""
+        """By key, then extent, document, part and place; each entry once, however many equal rows gave it."""
         key, extent, doc, part, place = self.columns[:5]
         order = np.argsort(key, kind="stable")
         tied = key[order][1:] == key[order][:-1]
         if tied.any():  # few keys occur twice, so the other columns are sorted among those only
             among = np.flatnonzero(np.append(tied, False) | np.append(False, tied))
             own = order[among]
-            order[among] = own[np.lexsort((place[own], part[own], doc[own], extent[own], key[own]))]
+            own = own[np.lexsort((place[own], part[own], doc[own], extent[own], key[own]))]
+            order[among] = own
+            again = np.zeros(len(own), bool)
+            again[1:] = np.logical_and.reduce([c[own][1:] == c[own][:-1] for c in self.columns[:5]])
+            order = np.delete(order, among[again])
         return self.taken(order)
 
     @staticmethod
