@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -240,3 +241,17 @@ def test_slices_of_long_texts_add_up(monkeypatch):
     monkeypatch.setattr(langid, "SLICE", 40)
     cut = langid.tallied(text)
     assert all((a == b).all() for a, b in zip(whole, cut))
+
+
+def test_adjacent_notices_with_and_without_edits():
+    """A weaker notice before an exact one is listed too."""
+    kinds = ["under the mit license", "under the mit licence", "undr the mit license", "under the mit licences"]
+    edits = [0, 1, 1, 2]
+    rng = random.Random(8)
+    for gap in (" ", " a few other words "):
+        for _ in range(60):
+            picked = [rng.randrange(4) for _ in range(rng.randint(1, 6))]
+            words, _ = licenses.normalized(gap.join(kinds[k] for k in picked).encode())
+            step = 3 + len(gap.split()) + 1
+            expected = [("mit", n * step, 4, edits[k]) for n, k in enumerate(picked)]
+            assert licenses.fuzzy(words, licenses.NOTICES[:1]) == expected

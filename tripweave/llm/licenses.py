@@ -67,19 +67,19 @@ def places(words: bytes, phrase: str) -> list[int]:
 
 
 @lru_cache(64)
-def _search(notice: Notice) -> tuple[list[bytes], regex.Pattern, list[int]]:
+def _search(notice: Notice) -> tuple[list[bytes], regex.Pattern, list[int], regex.Pattern]:
     text, parts = notice.words, notice.edits + 1
     cuts = [len(text) * i // parts for i in range(parts + 1)]
     seeds = [text[a:b].encode() for a, b in zip(cuts, cuts[1:])]
-    pattern = regex.compile(rf"(?b)(?<![^ ])(?:{regex.escape(text, special_only=True)}){{e<={notice.edits}}}(?![^ ])")
-    return seeds, pattern, cuts[:-1]
+    pattern = rf"(?<![^ ])(?:{regex.escape(text, special_only=True)}){{e<={notice.edits}}}(?![^ ])"
+    return seeds, regex.compile(f"(?b){pattern}"), cuts[:-1], regex.compile(pattern)
 
 
 def fuzzy(words: bytes, notices: tuple[Notice, ...] = NOTICES) -> list[tuple[str, int, int, int]]:
-    """(label, first word, words, edits) of every place that is within a notice's edits."""
+    """(label, first word, words, edits) of every place that is within a notice's edits; of overlapping ones the best."""
     found = []
     for notice in notices:
-        seeds, pattern, offsets = _search(notice)
+        seeds, best, offsets, first = _search(notice)
         windows = []
         for seed, offset in zip(seeds, offsets):
             at = -1
@@ -93,10 +93,31 @@ def fuzzy(words: bytes, notices: tuple[Notice, ...] = NOTICES) -> list[tuple[str
             piece = words[start : _edge(words, min(stop, len(words)))].decode("utf-8")
             spaces += words.count(b" ", counted, start)
             counted, inside, seen = start, 0, 0
-            for match in pattern.finditer(piece):
+            for match in _matches(first, best, piece, len(notice.words) + notice.edits):
                 inside += piece.count(" ", seen, match.start())
-                seen, first = match.start(), spaces + inside - 1
-                found.append((notice.label, max(0, first), match[0].strip().count(" ") + 1, sum(match.fuzzy_counts)))
+                seen, word = match.start(), spaces + inside - 1
+                found.append((notice.label, max(0, word), match[0].strip().count(" ") + 1, sum(match.fuzzy_counts)))
+    return found
+
+
+def _matches(first: regex.Pattern, best: regex.Pattern, piece: str, longest: int) -> list[regex.Match]:
+    """All matches without overlap, in order.
+
+    From the leftmost match on, the best of those that overlap it is taken, then what lies
+    before that and behind it is searched; each search for the best sees few characters.
+    """
+    found, at = [], 0
+    while rough := first.search(piece, at):
+        start, stop = rough.start(), piece.find(" ", rough.end() + longest)
+        stop, at = len(piece) if stop < 0 else stop, rough.end()
+        own = []
+        while match := best.search(piece, start, stop):
+            if match.start() < rough.end():
+                own.append(match)
+            stop = match.start()
+        if own:
+            at = own[0].end()
+        found += reversed(own)
     return found
 
 
