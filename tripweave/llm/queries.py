@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import ann, bpe, chat, credentials, langid, licenses, mixing, quality, simhash, suffixes
+from tripweave.llm import ann, bpe, chat, credentials, langid, licenses, mixing, quality, simhash, suffixes, warc
 from tripweave.llm.common import table
+from tripweave.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
 ESCAPE_TEST = "\\### Assistant: </turn> ok"
@@ -70,6 +71,13 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents", "doc_id", "text"), tokenizer_json())
 
 
+def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "archive")
+    warc.store(table(spark, folder, "pages", "page_id", "url", "html"), path)
+    columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.read(spark, path, content=False).select(*columns)
+
+
 def queries() -> dict:
     own = (
         op1_secrets,
@@ -82,6 +90,7 @@ def queries() -> dict:
         op8_simhash,
         op9_suffix_dedup,
         op10_bpe,
+        op13_warc,
     )
     return {query.__name__: query for query in own}
 
@@ -161,6 +170,24 @@ SELECT doc_id, domain, lang, source, epoch, tokens, taken_tokens FROM placed WHE
 """
 
 
+# Four characters of five bits for every five hexadecimal digits of the SHA-1.
+WARC_SQL = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest,
+         row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id NULLS LAST, url NULLS LAST) AS place,
+         min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+  FROM pages
+)
+SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + (((('0x' || substr(digest, (5 * (i // 4) + 1)::INTEGER, 5))::BIGINT >> (15 - 5 * (i % 4))::BIGINT) & 31)::INTEGER), 1)), '')
+         AS payload_digest,
+       CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN place > 1 THEN first_id END AS refers_to
+FROM payloads
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The other operators have no SQL: learnt models, hashes that SQL lacks, fuzzy matches, iteration."""
-    return {"op2_chat_format": CHAT_SQL, "op3_mixing": MIXING_SQL}
+    return {"op2_chat_format": CHAT_SQL, "op3_mixing": MIXING_SQL, "op13_warc": WARC_SQL}
