@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import ann, bpe, chat, credentials, langid, licenses, mixing, quality, simhash, suffixes, warc
+from tripweave.llm import ann, bpe, chat, credentials, langid, licenses, mixing, negatives, quality, simhash, suffixes, warc
 from tripweave.llm.common import table
 from tripweave.session import scratch_path
 
@@ -71,6 +71,13 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents", "doc_id", "text"), tokenizer_json())
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.withColumn("label", moved)
+    return negatives.mine(rows, rows.where("vec_id % 100 = 0"))
+
+
 def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "archive")
     warc.store(table(spark, folder, "pages", "page_id", "url", "html"), path)
@@ -90,6 +97,7 @@ def queries() -> dict:
         op8_simhash,
         op9_suffix_dedup,
         op10_bpe,
+        op12_hard_negatives,
         op13_warc,
     )
     return {query.__name__: query for query in own}
@@ -170,6 +178,33 @@ SELECT doc_id, domain, lang, source, epoch, tokens, taken_tokens FROM placed WHE
 """
 
 
+NEGATIVES_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+         list_transform(embedding, lambda x: floor(256::DOUBLE * x::DOUBLE)) AS parts
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+         list_inner_product(a.parts, r.parts)::BIGINT AS score
+  FROM rows a JOIN rows r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id AND len(a.parts) = len(r.parts)
+),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM (
+  SELECT p.*, s.id, s.score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS rank
+  FROM positives p JOIN scored s USING (anchor_id)
+  WHERE NOT s.same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+)
+WHERE rank <= 5
+"""
+
 # Four characters of five bits for every five hexadecimal digits of the SHA-1.
 WARC_SQL = """
 WITH payloads AS (
@@ -190,4 +225,4 @@ FROM payloads
 
 def oracle_sql() -> dict[str, str]:
     """The other operators have no SQL: learnt models, hashes that SQL lacks, fuzzy matches, iteration."""
-    return {"op2_chat_format": CHAT_SQL, "op3_mixing": MIXING_SQL, "op13_warc": WARC_SQL}
+    return {"op2_chat_format": CHAT_SQL, "op3_mixing": MIXING_SQL, "op12_hard_negatives": NEGATIVES_SQL, "op13_warc": WARC_SQL}
