@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import ann, bpe, chat, credentials, langid, licenses, mixing, negatives, quality, simhash, suffixes, warc
+from tripweave.llm import align, ann, bpe, chat, credentials, langid, licenses, mixing, negatives, quality, simhash, suffixes, warc
 from tripweave.llm.common import table
 from tripweave.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 ESCAPE_TEST = "\\### Assistant: </turn> ok"
 
 
@@ -20,6 +21,11 @@ def tokenizer_json(path: str | None = None) -> bytes:
         return stored.read()
 
 
+def piece_model(path: str | None = None) -> bytes:
+    """The stored sentencepiece model (0.5 MB)."""
+    return tokenizer_json(path or public_tokenizers.path(PIECES))
+
+
 def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return credentials.scan(table(spark, folder, "documents", "doc_id", "text"))
 
@@ -71,6 +77,10 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents", "doc_id", "text"), tokenizer_json())
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align.align(table(spark, folder, "documents", "doc_id", "text"), tokenizer_json(), piece_model())
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings", "vec_id", "embedding", "label")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
@@ -97,6 +107,7 @@ def queries() -> dict:
         op8_simhash,
         op9_suffix_dedup,
         op10_bpe,
+        op11_alignment,
         op12_hard_negatives,
         op13_warc,
     )
