@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import awkward
 import corpus_pipeline as pipeline
-import test_dedup
+import test_alike
 import test_scans
 from conftest import TINY
 
@@ -28,8 +28,9 @@ def test_stages(spark):
     assert all(frame.columns == raw.columns for frame in (good, single, masked, mixed))
     kept = {r["doc_id"] for r in queries.op7_quality_rules(spark, TINY).where("kept").collect()}
     assert {r["doc_id"] for r in good.collect()} == kept
-    groups = {c for _, _, c in test_dedup.grouped_by_hand(awkward.texts_of(good))}
-    assert sorted(r["doc_id"] for r in single.collect()) == sorted(groups)
+    rows = sorted(awkward.texts_of(good))
+    staying = [rows[i][0] for i in test_alike.alike_by_hand([t for _, t in rows])]
+    assert sorted(r["doc_id"] for r in single.collect()) == sorted(staying)
     assert {r["doc_id"] for r in masked.collect()} == {r["doc_id"] for r in single.collect()}
     before = {r["doc_id"]: r["text"] for r in single.collect()}
     for row in masked.collect():

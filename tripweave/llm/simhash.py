@@ -114,9 +114,23 @@ def one_of_each(docs: DataFrame, groups: Callable[[DataFrame], DataFrame] = grou
     last; of equal rows one stays.
     """
     order = F.struct(F.isnull("doc_id").alias("nameless"), "doc_id", "text_hash")
-    first = groups(docs).groupBy("component").agg(F.min(order).alias("first"))
-    staying = first.select(F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
+    own = settled(groups(docs), "groups")
+    counted = own.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    first = counted.groupBy("component").agg(F.min(F.struct(order.alias("order"), F.col("n"))).alias("first"))
+    staying = settled(
+        first.select(
+            F.col("first.order.doc_id").alias("first_id"),
+            F.col("first.order.text_hash").alias("first_hash"),
+            F.expr("first.n > 1 AS repeated"),
+        ),
+        "staying",
+    )
     # a row travels as one struct, so that its columns may have any names
     rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"))
-    kept = rows.join(staying, F.expr("doc_id <=> first_id AND text_hash = first_hash"), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text_hash"]).select("row.*")
+    same = F.expr("doc_id <=> first_id AND text_hash = first_hash")
+    kept = rows.join(staying.where("NOT repeated"), same, "left_semi")
+    if not staying.where("repeated").isEmpty():
+        kept = kept.unionByName(
+            rows.join(staying.where("repeated"), same, "left_semi").dropDuplicates(["doc_id", "text_hash"])
+        )
+    return kept.select("row.*")
