@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from weakref import WeakKeyDictionary
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _siblings: WeakKeyDictionary = WeakKeyDictionary()
 _local_roots: dict[str, str] = {}
@@ -83,6 +83,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def written(frame: DataFrame, label: str) -> DataFrame:
+    """The frame written to the scratch folder and read back: lineage ends here, and it is computed once."""
+    path = scratch_path(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def ensure_checkpoints(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable in this session."""
     context = spark.sparkContext
