@@ -124,14 +124,19 @@ def test_documents_by_hand(spark, stored, tokens):
 def test_small_chunks_and_segments_change_nothing(spark, stored, tokens, monkeypatch):
     docs = [(n, t) for n, t in enumerate(TEXTS)] + [(100, " ".join(TEXTS)), (101, "lorem ipsum dolor sit " * 40)]
     shipped(spark)
-    monkeypatch.setattr(align.Aligner.tokens, "__defaults__", (20,))
     expected = aligned_by_hand(docs, tokens)
-    aligner = align.Aligner(*stored)
-    columns, pairs, seen = aligner.chunk([t for _, t in docs])
     by_id = {row[0]: row for row in expected}
-    for place, (doc_id, _) in enumerate(docs):
-        told = [columns[c][place] for c in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256")]
-        assert told == [*by_id[doc_id][1:5], by_id[doc_id][7]]
+    for size, large, fast in ((20, 1 << 12, True), (1 << 16, 3, True), (20, 3, False)):
+        aligner = align.Aligner(*stored)
+        with monkeypatch.context() as patched:
+            patched.setattr(align.Aligner.tokens, "__defaults__", (size,))
+            patched.setattr(align, "LARGE", large)
+            if not fast:
+                patched.setattr(aligner.a, "fast", None)
+            columns, pairs, seen = aligner.chunk([t for _, t in docs])
+        for place, (doc_id, _) in enumerate(docs):
+            told = [columns[c][place] for c in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256")]
+            assert told == [*by_id[doc_id][1:5], by_id[doc_id][7]]
     monkeypatch.setattr(align, "CHUNK", 40)
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     assert Counter(map(tuple, align.align(frame, *stored).collect())) == expected
@@ -146,6 +151,16 @@ def test_segments_are_cut_between_letters():
     assert all(p[0].isalpha() and q[-1].isalpha() for q, p in zip(parts, parts[1:]))
 
 
+def test_ranks_encode_like_the_library(stored, tokens):
+    tokenizer, rng = align.ByteLevel(stored[0]), random.Random(8)
+    assert tokenizer.fast is not None
+    sure = [chr(i) for i in range(ord(align.UNSURE))]
+    texts = [f"{x}{c}{y}" for c in sure for x, y in (("", ""), ("a ", " b"), ("1", "'s"), ("  ", "  "), ("\n", "."))]
+    texts += ["".join(rng.choice(sure + list(" \n'ae1.") * 40) for _ in range(30)) for _ in range(3000)]
+    assert all(max(t) < align.UNSURE for t in texts)
+    assert [ids.tolist() for ids in tokenizer.encode(texts)] == [[i for i, _ in tokens(t)[0]] for t in texts]
+
+
 def test_windows_of_one_hash_are_told_apart(monkeypatch):
     a, b = np.array([5, 6, 5, 6, 7], np.int32), np.array([1, 2, 1, 2, 2], np.int32)
     stops = np.arange(1, 6)
