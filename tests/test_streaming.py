@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tripweave.plans.etl import clean_trips
@@ -75,3 +76,77 @@ def test_hours_do_not_depend_on_the_session_zone(spark, make_trips):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert hours == [dt.datetime(2024, 3, 10, h) for h in (1, 2, 3)]
+
+
+def minutes(make_trips, day, n):
+    return make_trips(*[{"pickup": f"2019-06-{day:02d} {h:02d}:00:00", "dropoff": f"2019-06-{day:02d} {h:02d}:30:00"} for h in range(n)])
+
+
+def test_counts_of_many_batches_stay_in_few_files(spark, make_trips, zones, tmp_path):
+    """Batches of one file each, with a restart in between; compaction every four batches."""
+    arriving, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    trips = minutes(make_trips, 1, 20).unionByName(minutes(make_trips, 2, 10))
+    most = 0
+    for _ in range(2):
+        trips.repartition(15).write.mode("append").parquet(arriving)
+        stream = clean_trips(live.stream_standard(spark, arriving, files_per_batch=1), zones)
+        counts = live.hourly_borough_counts(stream)
+        live.write_hourly_counts(counts, out, progress, once=True, compact_every=4).awaitTermination()
+        most = max(most, len(list((tmp_path / "out" / "changes").glob("batch=*"))))
+        assert len(list((tmp_path / "out" / "snapshots").glob("v=*"))) <= 2
+    got = {(r["hour_start"].day, r["hour_start"].hour): r["trip_count"] for r in live.read_hourly_counts(spark, out).collect()}
+    assert got == {(d, h): 2 for d, n in ((1, 20), (2, 10)) for h in range(n)} and most <= 4
+    live.compact_counts(spark, out)
+    live.compact_counts(spark, out)
+    again = {(r["hour_start"].day, r["hour_start"].hour): r["trip_count"] for r in live.read_hourly_counts(spark, out).collect()}
+    assert again == got and not list((tmp_path / "out" / "changes").glob("batch=*"))
+
+
+def test_a_compaction_that_died_loses_and_doubles_nothing(spark, tmp_path):
+    def batch(n, *rows):
+        spark.createDataFrame(rows, live.COUNTS_DDL).write.mode("overwrite").parquet(f"{tmp_path}/changes/batch={n}")
+
+    def counts():
+        return {(r["pickup_borough"], r["trip_count"]) for r in live.read_hourly_counts(spark, str(tmp_path)).collect()}
+
+    hour = dt.datetime(2020, 1, 1)
+    batch(0, (hour, "a", 1))
+    batch(1, (hour, "a", 3), (hour, "b", 1))
+    live.compact_counts(spark, str(tmp_path))
+    batch(1, (hour, "a", 3), (hour, "b", 1))  # died before it removed a merged batch
+    batch(2, (hour, "b", 2))
+    assert counts() == {("a", 3), ("b", 2)}
+    live.compact_counts(spark, str(tmp_path))
+    (tmp_path / "snapshots" / "v=1" / "_SUCCESS").unlink()  # died before the snapshot was whole
+    batch(2, (hour, "b", 2))
+    assert counts() == {("a", 3), ("b", 2)}
+
+
+def test_each_batch_sees_the_zones_of_its_time(spark, make_trips, zones, tmp_path):
+    arriving, out, progress, stored = (str(tmp_path / n) for n in ("in", "out", "progress", "zones"))
+    zones.write.parquet(stored)
+
+    def run():
+        stream = live.stream_standard(spark, arriving, files_per_batch=1)
+        query = live.clean_batches(stream, lambda s: s.read.parquet(stored), out, progress, once=True)
+        query.awaitTermination()
+
+    make_trips({}, {"PULocationID": 300}).coalesce(1).write.mode("append").parquet(arriving)
+    run()
+    assert live.read_batches(spark, out).count() == 1
+    spark.createDataFrame([(300, "Bronx", "x", "y")], zones.schema).write.mode("append").parquet(stored)
+    make_trips({}, {"PULocationID": 300}).coalesce(1).write.mode("append").parquet(arriving)
+    run()
+    rows = live.read_batches(spark, out)
+    assert sorted(r["pickup_borough"] for r in rows.collect()) == ["Bronx", "Manhattan", "Manhattan"]
+    assert rows.columns == [*CLEAN_SCHEMA.names, "year", "month"]
+    spark.createDataFrame([(300, "Queens", "x", "y")], zones.schema).write.mode("append").parquet(stored)
+    make_trips({}).coalesce(1).write.mode("append").parquet(arriving)
+    with pytest.raises(Exception, match="not unique"):
+        run()
+    assert live.read_batches(spark, out).count() == 3
+    spark.createDataFrame([(300, "Bronx", "x", "y"), (4, "Manhattan", "m", "n"), (7, "Queens", "q", "r")], zones.schema).write.mode(
+        "overwrite"
+    ).parquet(stored)
+    run()  # the batch that failed is taken again
+    assert live.read_batches(spark, out).count() == 4

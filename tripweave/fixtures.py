@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.schemas import DOUBLE, INT, LEGACY, LONG, MIDDLE, MODERN, TEXT, TIME, TRIP_SCHEMA, Era, table
+from tripweave.sources import snapshots
 
 AIRPORT_BOROUGH = ("AFRICA",)
 
@@ -92,8 +93,16 @@ def era_folders(root: str) -> dict[str, tuple[Era, str]]:
     }
 
 
-def write_era_folders(trips: DataFrame, root: str) -> None:
-    """Write trips the way the three eras stored them.
+# The eras as the files below have them; months before and after are of no era.
+MONTH_ERAS = (
+    Era("legacy", (2011, 1), (2013, 12), LEGACY.schema),
+    Era("middle", (2014, 1), (2016, 12), MIDDLE.schema),
+    Era("modern", (2017, 1), (2036, 12), MODERN.schema),
+)
+
+
+def era_frames(trips: DataFrame) -> dict[str, DataFrame]:
+    """Trips the way the three eras stored them, by the folders' names.
 
     To 2013: text timestamps in half of the rows, no fee. 2014-2016: passengers as double
     and the fee under either spelling, by odd and even month. Later: passengers as long.
@@ -102,32 +111,67 @@ def write_era_folders(trips: DataFrame, root: str) -> None:
     as_text = F.minute("pickup_datetime") % 2 == 0
     times = {f"tpep_{end}_datetime": F.col(f"{end}_datetime") for end in ("pickup", "dropoff")}
     numbers = ["trip_distance", "total_amount", "PULocationID", "DOLocationID"]
-
-    def save(name: str, part: DataFrame) -> None:
-        part.write.mode("overwrite").parquet(era_folders(root)[name][1])
-
-    save(
-        "legacy",
-        trips.filter(year <= 2013).select(
-            *[F.when(~as_text, ts).alias(name) for name, ts in times.items()],
-            *numbers,
-            F.col("passenger_count").cast("long").alias("passenger_count"),
-            *[F.when(as_text, ts.cast("string")).alias(name[len("tpep_"):]) for name, ts in times.items()],
-        ),
+    rest = [c for c in trips.columns if c not in TRIP_SCHEMA.names]
+    legacy = trips.filter(year <= 2013).select(
+        *[F.when(~as_text, ts).alias(name) for name, ts in times.items()],
+        *numbers,
+        F.col("passenger_count").cast("long").alias("passenger_count"),
+        *[F.when(as_text, ts.cast("string")).alias(name[len("tpep_"):]) for name, ts in times.items()],
+        *rest,
     )
     middle = trips.filter(year.between(2014, 2016))
     later = trips.filter(year >= 2017)
-    for name, part, passengers, fee in (
-        ("middle_lower", middle.filter(month % 2 == 1), "double", "airport_fee"),
-        ("middle_upper", middle.filter(month % 2 == 0), "double", "Airport_fee"),
-        ("modern", later, "long", "Airport_fee"),
-    ):
-        save(
-            name,
-            part.select(
-                *[ts.alias(column) for column, ts in times.items()],
-                *numbers,
-                F.col("passenger_count").cast(passengers).alias("passenger_count"),
-                F.col("airport_fee").alias(fee),
-            ),
+    return {"legacy": legacy} | {
+        name: part.select(
+            *[ts.alias(column) for column, ts in times.items()],
+            *numbers,
+            F.col("passenger_count").cast(passengers).alias("passenger_count"),
+            F.col("airport_fee").alias(fee),
+            *rest,
+        )
+        for name, part, passengers, fee in (
+            ("middle_lower", middle.filter(month % 2 == 1), "double", "airport_fee"),
+            ("middle_upper", middle.filter(month % 2 == 0), "double", "Airport_fee"),
+            ("modern", later, "long", "Airport_fee"),
         )
+    }
+
+
+def write_era_folders(trips: DataFrame, root: str) -> None:
+    """Write trips the way the three eras stored them, a folder for each way."""
+    for name, part in era_frames(trips).items():
+        part.write.mode("overwrite").parquet(era_folders(root)[name][1])
+
+
+def write_month_files(trips: DataFrame, root: str) -> None:
+    """Write trips the way the eras stored them, one file for each month, named by it; a file that is there is replaced."""
+    spark = trips.sparkSession
+    dated = trips.withColumn("file_month", F.date_format("pickup_datetime", "yyyy-MM"))
+    for name, part in era_frames(dated).items():
+        staged = f"{root}-staged-{name}"
+        part.repartition("file_month").write.partitionBy("file_month").mode("overwrite").parquet(staged)
+        _place(spark, staged, root)
+
+
+def damage_months(spark: SparkSession, root: str, months: DataFrame) -> None:
+    """Put something else in the place of the files of ``months`` (``file_month``)."""
+    staged = f"{root}-staged-damage"
+    junk = months.select(F.lit("not a Parquet file any more").alias("value"), "file_month")
+    junk.repartition("file_month").write.partitionBy("file_month").mode("overwrite").text(staged)
+    _place(spark, staged, root)
+
+
+def month_file(root: str, month: str) -> str:
+    return f"{root}/yellow_tripdata_{month}.parquet"
+
+
+def _place(spark: SparkSession, staged: str, root: str) -> None:
+    """The one file of every month folder, under its name in ``root``."""
+    snapshots.make(spark, root)
+    for folder in snapshots.children(spark, staged):
+        if folder.startswith("file_month="):
+            (name,) = [n for n in snapshots.children(spark, f"{staged}/{folder}") if n.startswith("part-")]
+            target = month_file(root, folder.removeprefix("file_month="))
+            snapshots.remove(spark, target)
+            snapshots.rename(spark, f"{staged}/{folder}/{name}", target)
+    snapshots.remove(spark, staged)

@@ -1,8 +1,7 @@
 """What is known of every raw file, kept from run to run.
 
 A ledger is a versioned table with a row for each file: what the listing says (``path, length,
-modified``), the month and era by its name, what its footer says (``schema, verdict, error``), and
-the months its trips fell in when it was last loaded. A run lists the files, keeps the rows of those that
+modified``), the month and era by its name, and what its footer says (``schema, verdict, error``). A run lists the files, keeps the rows of those that
 the listing shows unchanged, and opens the footers of the others only.
 """
 
@@ -21,7 +20,7 @@ from tripweave.sources.trips import PREFIX, file_era, file_month, list_files
 
 LEDGER_DDL = (
     "path string, length long, modified timestamp, month string, era string, schema string, schema_hash long, "
-    "verdict string, error string, fed array<string>"
+    "verdict string, error string"
 )
 COLUMNS = [column.split(" ")[0] for column in LEDGER_DDL.split(", ")]
 SEEN = ["path", "length", "modified"]
@@ -57,7 +56,6 @@ def update(
             "month": F.nullif(file_month(prefix), F.lit("")),
             "era": file_era(eras, prefix),
             "schema_hash": F.xxhash64("schema"),
-            "fed": F.lit(None).cast("array<string>"),
         }
     )
     opened = written(opened.select(*COLUMNS), "opened")

@@ -36,6 +36,11 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
+def make(spark: SparkSession, path: str) -> None:
+    system, target = _folder(spark, path)
+    system.mkdirs(target)
+
+
 def rename(spark: SparkSession, path: str, new: str) -> None:
     system, target = _folder(spark, path)
     if not system.rename(target, spark._jvm.org.apache.hadoop.fs.Path(new)):

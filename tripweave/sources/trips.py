@@ -5,13 +5,14 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripweave.operators.audit import OPENED_IN_TASKS, file_schemas, unreadable_files
-from tripweave.operators.standardize import standardize, union_standard
+from tripweave.operators.standardize import standard_column, standardize, union_standard
 from tripweave.schemas import CLEAN_SCHEMA, ERAS, PARTITION_SCHEMA, TARGETS, Era
 from tripweave.session import case_sensitive, written
 
@@ -126,9 +127,16 @@ def read_drifting(spark: SparkSession, files: DataFrame) -> tuple[DataFrame, Dat
     skipped and listed in the second frame (``path, error``); a file that cannot be
     fetched fails the job; nothing readable at all is an error.
     """
-    session = case_sensitive(spark)
     known = files if "verdict" in files.columns else written(file_schemas(files), "footers")
-    frames = []
+    frames = [standardize(scan) for scan in raw_scans(spark, known)]
+    if not frames:
+        raise FileNotFoundError("no readable trip file")
+    return union_standard(frames), unreadable_files(known)
+
+
+def raw_scans(spark: SparkSession, known: DataFrame) -> list[DataFrame]:
+    """The files of ``known`` (``path, schema``) as they are, a frame for each schema and folder."""
+    session, scans = case_sensitive(spark), []
     for row in scan_groups(known).orderBy("schema", "folder").collect():
         schema = _known_columns(row["schema"])
 
@@ -140,10 +148,30 @@ def read_drifting(spark: SparkSession, files: DataFrame) -> tuple[DataFrame, Dat
         if len(found._jdf.inputFiles()) != row["files"]:  # the folder holds more files of such names than were listed
             own = known.where((F.col("schema") == row["schema"]) & (_folder() == row["folder"]))
             found = scan([r["name"] for r in own.select(_name().alias("name")).collect()])
-        frames.append(standardize(found))
-    if not frames:
-        raise FileNotFoundError("no readable trip file")
-    return union_standard(frames), unreadable_files(known)
+        scans.append(found)
+    return scans
+
+
+def months_fed(spark: SparkSession, known: DataFrame) -> DataFrame:
+    """``path, fed``: the months (``YYYY-MM``) in which the trips of each file begin, sorted."""
+    pickup = next(t for t in TARGETS if t.name == "pickup_datetime")
+    parts = [
+        scan.select(F.col("_metadata.file_path").alias("path"), standard_column(pickup, set(scan.columns)))
+        for scan in raw_scans(spark, known)
+    ]
+    if not parts:
+        return spark.createDataFrame([], "path string, fed array<string>")
+    months = F.date_format("pickup_datetime", "yyyy-MM")
+    found = reduce(DataFrame.unionByName, parts).select(_place(F.col("path"), True).alias("place"), months.alias("month"))
+    fed = found.groupBy("place").agg(F.sort_array(F.collect_set("month")).alias("fed"))
+    listed = known.select("path", _place(F.col("path"), False).alias("place"))
+    return listed.join(fed, "place").select("path", "fed")
+
+
+def _place(path: Column, encoded: bool) -> Column:
+    """A path in one spelling: scans write it as an address, with other slashes and escapes than listings do."""
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))) if encoded else path
+    return F.regexp_replace(plain, "^([A-Za-z0-9+.-]+):/+", "$1:/")
 
 
 def scan_groups(known: DataFrame) -> DataFrame:
