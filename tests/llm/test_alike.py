@@ -9,8 +9,9 @@ import corpus_pipeline as pipeline
 import numpy as np
 import pytest
 from conftest import TINY
+from pyspark.sql import functions as F
 
-from tripweave.llm import alike, simhash
+from tripweave.llm import alike, common, simhash
 from tripweave.llm.common import shipped
 
 
@@ -115,3 +116,15 @@ def test_awkward_rows(spark):
     )
     assert {r for r in map(repr, found)} <= {r for r in map(repr, rows)}
     assert simhash.one_of_each(awkward.empty(spark), alike.grouped).count() == 0
+
+
+@pytest.mark.parametrize("size", [1 << 26, 1 << 16])
+def test_marks_miss_nothing(spark, monkeypatch, size):
+    shipped(spark)
+    monkeypatch.setattr(common, "MARKS", size)
+    keys = spark.range(-3000, 3000).select(F.xxhash64("id").alias("key"), "id")
+    rows = common.with_mark(keys, F.col("key"), common.marks(keys.where("id % 3 = 0")))
+    counts = {(r["marked"], r["mark"]): r["count"] for r in rows.groupBy((F.col("id") % 3 == 0).alias("marked"), "mark").count().collect()}
+    assert (True, False) not in counts and counts[True, True] == 2000
+    assert counts[False, False] > (3990 if size > 1 << 20 else 3500)
+    assert common.with_mark(keys, F.col("key"), common.marks(keys.limit(0))).where("mark").count() == 0

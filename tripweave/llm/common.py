@@ -9,7 +9,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.session import scratch_path
@@ -77,6 +77,31 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return stored[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
+MARKS = 1 << 26  # bits of a set of marks: 2048 bitmaps of 4 KB, so it can be sent to every task whatever it marks
+
+
+def marks(keys: DataFrame) -> DataFrame:
+    """A bounded set of marks for the ``key`` (long) of every row: 2048 rows of ``bucket, bits`` at most."""
+    slot = F.pmod("key", F.lit(MARKS)) + 1
+    made = keys.select(F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("position"))
+    return settled(made.groupBy("bucket").agg(F.bitmap_construct_agg("position").alias("bits")), "marks")
+
+
+def with_mark(rows: DataFrame, key: Column, marked: DataFrame) -> DataFrame:
+    """``rows`` with ``mark``: false only if ``key`` is none of the marked ones.
+
+    It spares what follows the rows that are surely not concerned; others may be marked by chance, the
+    more the more keys there are, and an exact step has to follow.
+    """
+    slot = F.pmod(key, F.lit(MARKS)) + 1
+    own = rows.withColumns({"_bucket": F.bitmap_bucket_number(slot), "_position": F.bitmap_bit_position(slot)})
+    own = own.join(F.broadcast(marked.withColumnRenamed("bucket", "_bucket")), "_bucket", "left")
+    octet = F.conv(F.hex(F.expr("substring(bits, int(_position div 8) + 1, 1)")), 16, 10).cast("int")
+    bit = F.expr("shiftright(_octet, int(_position % 8)) & 1 = 1")
+    own = own.withColumn("_octet", octet).withColumn("mark", F.coalesce(bit, F.lit(False)))
+    return own.drop("_bucket", "_position", "_octet", "bits")
+
+
 def components(links: DataFrame) -> DataFrame:
     """The connected components of ``links`` (``u``, ``v`` long): ``node``, ``component`` (its smallest node).
 

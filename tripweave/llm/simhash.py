@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import components, pieces, settled
+from tripweave.llm.common import components, marks, pieces, settled, with_mark
 
 SEED = 42
 SHINGLE = 3
@@ -115,7 +115,7 @@ def one_of_each(docs: DataFrame, groups: Callable[[DataFrame], DataFrame] = grou
     """
     order = F.struct(F.isnull("doc_id").alias("nameless"), "doc_id", "text_hash")
     own = settled(groups(docs), "groups")
-    counted = own.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    counted = settled(own.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("n")), "counted")
     first = counted.groupBy("component").agg(F.min(F.struct(order.alias("order"), F.col("n"))).alias("first"))
     staying = settled(
         first.select(
@@ -125,12 +125,17 @@ def one_of_each(docs: DataFrame, groups: Callable[[DataFrame], DataFrame] = grou
         ),
         "staying",
     )
+    same = F.expr("doc_id <=> first_id AND text_hash = first_hash")
+    # most rows stay, and are all there is of their kind: those that no mark concerns stay where they are
+    going = counted.join(staying.where("NOT repeated"), same, "left_anti")
+    key = F.xxhash64("doc_id", "text_hash")
     # a row travels as one struct, so that its columns may have any names
     rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"))
-    same = F.expr("doc_id <=> first_id AND text_hash = first_hash")
-    kept = rows.join(staying.where("NOT repeated"), same, "left_semi")
+    rows = with_mark(rows, key, marks(going.select(key.alias("key"))))
+    asked = rows.where("mark")
+    kept = rows.where("NOT mark").unionByName(asked.join(staying.where("NOT repeated"), same, "left_semi"))
     if not staying.where("repeated").isEmpty():
         kept = kept.unionByName(
-            rows.join(staying.where("repeated"), same, "left_semi").dropDuplicates(["doc_id", "text_hash"])
+            asked.join(staying.where("repeated"), same, "left_semi").dropDuplicates(["doc_id", "text_hash"])
         )
     return kept.select("row.*")
