@@ -15,12 +15,12 @@ import oracles  # noqa: E402
 from tripweave import fixtures  # noqa: E402
 from tripweave.operators import audit, latency, profile, quality, zones  # noqa: E402
 from tripweave.operators.enrich import enrich  # noqa: E402
-from tripweave.plans import insights, report  # noqa: E402
+from tripweave.plans import incremental, insights, report  # noqa: E402
 from tripweave.plans.etl import clean_trips, clean_trips_basic  # noqa: E402
 from tripweave.plans.rollup import rollup  # noqa: E402
-from tripweave.session import scratch_path  # noqa: E402
+from tripweave.session import scratch_path, written  # noqa: E402
+from tripweave.sources import ledger, snapshots, writers  # noqa: E402
 from tripweave.sources import trips as sources  # noqa: E402
-from tripweave.sources import writers  # noqa: E402
 from tripweave.sources.zones import read_zones  # noqa: E402
 from tripweave.streaming import live  # noqa: E402
 
@@ -134,6 +134,94 @@ def compact_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+_month_roots: dict[tuple[str, str], str] = {}
+
+
+def _write_months(spark: SparkSession, folder: str, root: str, which: str = "true") -> None:
+    """The trips of a folder, one file for each month, named by it."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _month_roots:
+        path = scratch_path(spark, "trips")
+        _raw(spark, folder).write.parquet(path)
+        _month_roots[key] = path
+    fixtures.write_month_files(spark.read.parquet(_month_roots[key]).where(which), root)
+
+
+def _damage_months(spark: SparkSession, folder: str, root: str) -> None:
+    """Every fifth month's file is damaged."""
+    month = F.date_format("pickup_datetime", "yyyy-MM").alias("file_month")
+    fifth = _raw(spark, folder).where("(year(pickup_datetime) * 12 + month(pickup_datetime)) % 5 = 0")
+    fixtures.damage_months(spark, root, fifth.select(month).distinct())
+
+
+def skip_damaged(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips read from each month's file; a damaged file is listed and gives none."""
+    root = scratch_path(spark, "months")
+    _write_months(spark, folder, root)
+    _damage_months(spark, folder, root)
+    known = written(audit.file_schemas(sources.list_files(spark, root)), "footers")
+    trips, _ = sources.read_drifting(spark, known)
+    read = trips.groupBy(F.date_format("pickup_datetime", "yyyy-MM").alias("file_month")).agg(F.count("*").alias("n"))
+    files = known.select(sources.file_month().alias("file_month"), "verdict")
+    return files.join(read, "file_month", "left").select("file_month", "verdict", F.coalesce("n", F.lit(0)).alias("trips"))
+
+
+def eras_by_name(spark: SparkSession, folder: str) -> DataFrame:
+    """All files whose month is of an era, each read with the era's schema."""
+    root = scratch_path(spark, "months")
+    _write_months(spark, folder, root)
+    return sources.read_eras(spark, root, fixtures.MONTH_ERAS)
+
+
+def ingest_remainder(spark: SparkSession, folder: str) -> DataFrame:
+    """What a ledger of two runs says of files that are not read: damaged, or of no era."""
+    root, kept = scratch_path(spark, "months"), scratch_path(spark, "ledger")
+    _write_months(spark, folder, root, "month(pickup_datetime) % 2 = 0")
+    ledger.update(spark, root, kept, eras=fixtures.MONTH_ERAS)
+    _write_months(spark, folder, root, "month(pickup_datetime) % 2 = 1")
+    _damage_months(spark, folder, root)
+    known = ledger.update(spark, root, kept, eras=fixtures.MONTH_ERAS)
+    return ledger.remainder(known).select(sources.file_month().alias("file_month"), "reason")
+
+
+def schema_runs_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of months with one schema: the first and last month and the number of files."""
+    root = scratch_path(spark, "months")
+    _write_months(spark, folder, root)
+    runs = audit.schema_runs(sources.list_files(spark, root))
+    ends = [F.regexp_extract(c, r"(\d{4}-\d{2})\.parquet$", 1) for c in ("first_file", "last_file")]
+    return runs.select("run", ends[0].alias("first_month"), ends[1].alias("last_month"), "files")
+
+
+def incremental_months(spark: SparkSession, folder: str) -> DataFrame:
+    """A table after two loads: the second sees files that are new, corrected (2012) and gone (January 2013)."""
+    root, kept, path = (scratch_path(spark, name) for name in ("months", "ledger", "table"))
+
+    def load() -> None:
+        incremental.load_changes(spark, root, _zones(spark, folder), path, kept, eras=fixtures.MONTH_ERAS)
+
+    _write_months(spark, folder, root, "year(pickup_datetime) <> 2012 AND month(pickup_datetime) % 2 = 1")
+    _write_months(spark, folder, root, "year(pickup_datetime) = 2012 AND day(pickup_datetime) < 9")
+    load()
+    _write_months(spark, folder, root, "year(pickup_datetime) = 2012 OR month(pickup_datetime) % 2 = 0")
+    snapshots.remove(spark, fixtures.month_file(root, "2013-01"))
+    load()
+    return incremental.read_table(spark, path)
+
+
+def streamed_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Several batches, each cleaned with the zone table as it is then."""
+    path = scratch_path(spark, "stream")
+    _raw(spark, folder).repartition(3).write.parquet(f"{path}/in")
+    _zones(spark, folder).write.parquet(f"{path}/zones")
+    arriving = live.stream_standard(spark, f"{path}/in", files_per_batch=1)
+    query = live.clean_batches(
+        arriving, lambda session: session.read.parquet(f"{path}/zones"), f"{path}/out", f"{path}/progress", once=True
+    )
+    query.awaitTermination()
+    return live.read_batches(spark, f"{path}/out")
+
+
 def year_range(spark: SparkSession, folder: str) -> DataFrame:
     stages = (("raw", _raw(spark, folder)), ("clean", _clean(spark, folder)))
     raw, cleaned = (profile.year_range(df).withColumn("stage", F.lit(name)) for name, df in stages)
@@ -162,7 +250,7 @@ def streamed_hourly_counts(spark: SparkSession, folder: str) -> DataFrame:
     _raw(spark, folder).repartition(3, F.month("pickup_datetime")).write.parquet(f"{path}/in")
     arriving = live.stream_standard(spark, f"{path}/in", files_per_batch=1)
     counts = live.hourly_borough_counts(clean_trips(arriving, _zones(spark, folder)))
-    live.write_hourly_counts(counts, f"{path}/out", f"{path}/progress", once=True).awaitTermination()
+    live.write_hourly_counts(counts, f"{path}/out", f"{path}/progress", once=True, compact_every=2).awaitTermination()
     return live.read_hourly_counts(spark, f"{path}/out")
 
 
@@ -290,6 +378,12 @@ def queries() -> dict[str, Query]:
         "tail_class": tail_class,
         "latency_slowest": _slowest(("event_type",)),
         "slowest_overall": _slowest(()),
+        "skip_damaged": skip_damaged,
+        "eras_by_name": eras_by_name,
+        "ingest_remainder": ingest_remainder,
+        "schema_runs_by_month": schema_runs_by_month,
+        "incremental_months": incremental_months,
+        "streamed_batches": streamed_batches,
         "streamed_clean": streamed_clean,
         "streamed_hourly_counts": streamed_hourly_counts,
     }
@@ -298,8 +392,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query.
 
-    ``schema_drift`` reads file footers. ``elapsed_duration`` reads a repeated autumn hour
-    as its first occurrence, as Java does; DuckDB takes the second. Neither has SQL.
+    ``schema_drift`` gives the paths of scratch files and has none.
     """
     statements = oracles.statements() | (llm.oracle_sql() if llm else {})
     if llm and corpus_pipeline.ORACLE_SQL:

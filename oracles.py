@@ -298,6 +298,27 @@ seen AS (
 )"""
 
 
+MONTHS = TRIPS + """,
+months AS (
+  SELECT strftime(pickup_datetime, '%Y-%m') AS file_month, year(pickup_datetime) AS y, month(pickup_datetime) AS m,
+         count(*) AS n, (year(pickup_datetime) * 12 + month(pickup_datetime)) % 5 = 0 AS hurt
+  FROM trips GROUP BY ALL
+)"""
+
+
+def _in_utc(moment: str) -> str:
+    """A New York clock reading in UTC: summer time from the second Sunday in March to the first in November.
+
+    A reading that the spring shift skips counts as standard time, one that the autumn shift repeats as summer time.
+    """
+    def sunday(month: int, day: int) -> str:
+        first = f"make_date(year({moment}), {month}, {day})"
+        return f"({first} + ((7 - dayofweek({first})) % 7)::INTEGER)"
+
+    summer = f"{moment} >= {sunday(3, 8)} + INTERVAL 3 HOUR AND {moment} < {sunday(11, 1)} + INTERVAL 2 HOUR"
+    return f"{moment} + CASE WHEN {summer} THEN INTERVAL 4 HOUR ELSE INTERVAL 5 HOUR END"
+
+
 def statements() -> dict[str, str]:
     route = "pickup_borough, dropoff_borough"
     by_volume = f"ORDER BY trip_count DESC, {route} LIMIT"
@@ -437,6 +458,39 @@ def statements() -> dict[str, str]:
               FROM events) WHERE position <= 3""",
         "slowest_overall": "SELECT event_type, event_id, value FROM events ORDER BY value DESC, event_id LIMIT 3",
         "streamed_clean": _with(CLEAN, LAID_OUT),
+        "streamed_batches": _with(CLEAN, LAID_OUT),
+        "elapsed_duration": _with(
+            TRIPS,
+            f"""SELECT pickup_datetime, dropoff_datetime,
+                       round(date_diff('microsecond', {_in_utc("pickup_datetime")}, {_in_utc("dropoff_datetime")}) / 6e7::DOUBLE, 2)
+                         AS trip_duration_mins
+                FROM trips""",
+        ),
+        "skip_damaged": _with(
+            MONTHS,
+            """SELECT file_month, CASE WHEN hurt THEN 'damaged' ELSE 'sound' END AS verdict,
+                      CASE WHEN hurt THEN 0 ELSE n END AS trips FROM months""",
+        ),
+        "eras_by_name": f"SELECT * FROM ({UNION_ROWS}) WHERE year(pickup_datetime) BETWEEN 2011 AND 2036",
+        "ingest_remainder": _with(
+            MONTHS,
+            """SELECT file_month, CASE WHEN hurt THEN 'damaged' ELSE 'a month of no era' END AS reason
+               FROM months WHERE hurt OR y < 2011 OR y > 2036""",
+        ),
+        "schema_runs_by_month": _with(
+            MONTHS,
+            """SELECT run::BIGINT AS run, min(file_month) AS first_month, max(file_month) AS last_month, count(*) AS files
+               FROM (SELECT *, sum(begins) OVER (ORDER BY file_month) AS run
+                     FROM (SELECT *, CASE WHEN kind IS DISTINCT FROM lag(kind) OVER (ORDER BY file_month) THEN 1 ELSE 0 END AS begins
+                           FROM (SELECT *, CASE WHEN y <= 2013 THEN 'text times' WHEN y > 2016 THEN 'long' WHEN m % 2 = 1 THEN 'lower' ELSE 'upper' END AS kind
+                                 FROM months)))
+               GROUP BY run""",
+        ),
+        "incremental_months": _with(
+            CLEAN,
+            f"""SELECT * REPLACE (CASE WHEN year <= 2013 THEN 0.0::DOUBLE ELSE airport_fee END AS airport_fee)
+                FROM ({LAID_OUT}) WHERE NOT (year = 2013 AND month = 1)""",
+        ),
         "streamed_hourly_counts": _with(
             CLEAN,
             """SELECT date_trunc('hour', pickup_datetime)::TIMESTAMP AS hour_start, pickup_borough,

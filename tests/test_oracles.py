@@ -33,7 +33,7 @@ def test_query_matches_sql(spark, connection, name):
 
 def test_queries_without_sql():
     own = {name for name in entry.queries() if name != "pipeline" and not re.match(r"op\d+_", name)}
-    assert own - set(entry.oracle_sql()) == {"schema_drift", "elapsed_duration"}
+    assert own - set(entry.oracle_sql()) == {"schema_drift"}
 
 
 def test_elapsed_duration(spark):
