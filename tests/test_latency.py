@@ -136,3 +136,47 @@ def test_spans_beyond_a_broadcast_give_the_same_ranks(spark, monkeypatch):
     row = latency_stats(samples(spark, values), direct_limit=100).first()
     for name, p in PICKS.items():
         assert row[name] == sorted(values)[int(len(values) * p)]
+
+
+@pytest.mark.parametrize("shape", list(shapes()))
+def test_brackets_hold_the_same_ranks(spark, shape):
+    """Groups large enough that sketches of 16 values bracket them, against sorting."""
+    values = shapes()[shape]
+    picks = {f"p{p}": floor_index(p) for p in (0.0, 0.01, 0.3, 0.5, 0.95, 0.99, 1.0)}
+    rows = samples(spark, values).unionByName(samples(spark, values[::2] + [None], "half")).unionByName(samples(spark, [None], "none"))
+    order = {"all": sorted(values, key=lambda v: (math.isnan(v), v)), "half": sorted(values[::2], key=lambda v: (math.isnan(v), v))}
+    got = {r["key"]["g"]: r["value"] for r in ranks.bracketed(rows, ["value"], picks, ["g"], k=64).collect()}
+    assert got["none"]["size"] == 0 and got["none"]["p0.5"] is None
+    for group, own in order.items():
+        assert got[group]["size"] == len(own)
+        for p in (0.0, 0.01, 0.3, 0.5, 0.95, 0.99, 1.0):
+            expected = own[min(int(len(own) * p), len(own) - 1)]
+            assert got[group][f"p{p}"] == expected or (math.isnan(expected) and math.isnan(got[group][f"p{p}"]))
+
+
+def test_brackets_of_several_columns(spark):
+    rng = random.Random(9)
+    rows = [(rng.random(), float(rng.randrange(3)), None if i % 3 else rng.gauss(0, 1), None) for i in range(20_000)]
+    frame = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(7)
+    picks = {"25%": discrete_index(0.25), "50%": discrete_index(0.5)}
+    (got,) = ranks.bracketed(frame, ["a", "b", "c", "d"], picks, k=200).collect()
+    for i, column in enumerate("abc"):
+        own = sorted(r[i] for r in rows if r[i] is not None)
+        for p in (0.25, 0.5):
+            assert got[column][f"{p:.0%}"] == own[max(math.ceil(len(own) * p) - 1, 0)]
+    assert got["d"]["50%"] is None and got["d"]["size"] == 0
+    assert ranks.bracketed(frame.limit(0), ["a"], picks).count() == 0
+
+
+def test_plans_are_built_without_a_job(spark):
+    spark.range(5000).selectExpr("cast(id AS double) value", "'x' g").createOrReplaceTempView("plan_samples")
+    frame = spark.table("plan_samples")
+    spark.sparkContext.setJobGroup("building", "none expected")
+    try:
+        latency_stats(frame, by=["g"])
+        numeric_profile(frame, ["value"], exact=True)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+        assert latency_stats(frame, by=["g"]).first()["p50"] == 2500.0
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.operators.ranks import discrete_index, order_statistics
+from tripweave.operators.ranks import SKETCH_SIZE, bracketed, discrete_index
 
 RAW_NUMBERS = ("trip_distance", "total_amount", "passenger_count", "airport_fee")
 CLEAN_NUMBERS = (*RAW_NUMBERS, "trip_duration_mins")
@@ -27,59 +27,44 @@ def year_range(trips: DataFrame) -> DataFrame:
 
 
 def numeric_profile(
-    trips: DataFrame, columns: Sequence[str] = CLEAN_NUMBERS, exact: bool = False, accuracy: int = 10_000
+    trips: DataFrame, columns: Sequence[str] = CLEAN_NUMBERS, exact: bool = False, size: int = SKETCH_SIZE
 ) -> DataFrame:
     """One row per statistic (``summary``) and one double column per input column.
 
-    Quartiles come from bounded sketches in the same pass as the other statistics, or,
-    with ``exact``, from the exact order statistics.
+    Quartiles come from mergeable sketches of all columns, in the same pass as the other statistics
+    (off by a rank of at most ``rank_margin(size)``). With ``exact`` the sketches bracket them and one more pass
+    over all columns counts them out.
     """
-    simple = {
-        "count": lambda c: F.count(c).cast("double"),
-        "mean": F.avg,
-        "stddev": F.stddev_samp,
-        "min": lambda c: F.min(c).cast("double"),
-        "max": lambda c: F.max(c).cast("double"),
-    }
+    picks = {name: discrete_index(p) for name, p in QUARTILES.items()}
+    simple = {"count": lambda c: F.count(c).cast("double"), "mean": F.avg, "stddev": F.stddev_samp}
+    simple |= {"min": lambda c: F.min(c).cast("double"), "max": lambda c: F.max(c).cast("double")}
     wanted = [make(c).alias(f"{c}|{name}") for name, make in simple.items() for c in columns]
     if exact:
-        rows = _as_rows(trips.agg(*wanted), simple, columns)
-        rows = rows.unionByName(_exact_quartiles(trips, columns))
+        wide = trips.agg(*wanted)
+        ranked = bracketed(trips, columns, picks, k=size)
+        split = [F.col(f"`{c}`.`{name}`").alias(f"{c}|{name}") for c in columns for name in picks]
+        # one row each; without any trips there are no ranks
+        wide = wide.join(F.broadcast(ranked.select(*split)), F.lit(True), "left")
     else:
-        shares = list(QUARTILES.values())
-        sketches = [F.percentile_approx(c, shares, accuracy).alias(f"{c}|quartiles") for c in columns]
+        sketches = [F.kll_sketch_agg_double(F.col(c).cast("double"), F.lit(size)).alias(f"{c}|sketch") for c in columns]
         split = {
-            f"{c}|{name}": F.col(f"`{c}|quartiles`")[i].cast("double")
+            f"{c}|{name}": F.when(F.col(f"`{c}|count`") > 0, F.kll_sketch_get_quantile_double(F.col(f"`{c}|sketch`"), F.lit(p)))
             for c in columns
-            for i, name in enumerate(QUARTILES)
+            for name, p in QUARTILES.items()
         }
-        rows = _as_rows(trips.agg(*wanted, *sketches).withColumns(split), [*simple, *QUARTILES], columns)
+        wide = trips.agg(*wanted, *sketches).withColumns(split)
     position = reduce(
         lambda chain, item: chain.when(F.col("summary") == item[1], F.lit(item[0])),
         enumerate(STATISTICS[1:], 1),
         F.when(F.col("summary") == STATISTICS[0], F.lit(0)),
     )
-    return rows.orderBy(position)
-
-
-def _as_rows(wide: DataFrame, names: Iterable[str], columns: Sequence[str]) -> DataFrame:
-    return wide.select(F.inline(F.array(*[_profile_row(name, columns) for name in names])))
+    return wide.select(F.inline(F.array(*[_profile_row(name, columns) for name in STATISTICS]))).orderBy(position)
 
 
 def _profile_row(name: str, columns: Sequence[str]) -> Column:
     return F.struct(F.lit(name).alias("summary"), *[F.col(f"`{c}|{name}`").alias(c) for c in columns])
 
 
-def _exact_quartiles(trips: DataFrame, columns: Sequence[str]) -> DataFrame:
-    long = trips.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "column", "number"
-    )
-    picks = {name: discrete_index(p) for name, p in QUARTILES.items()}
-    ranked = order_statistics(long, "number", picks, ["column"])
-    per_column = [F.max(F.when(F.col("key.column") == c, F.col("value"))).alias(c) for c in columns]
-    return ranked.groupBy(F.col("pick").alias("summary")).agg(*per_column)
-
-
 def preview(trips: DataFrame, rows: int = 5) -> DataFrame:
     """The first rows in order of pickup time, the other columns breaking ties."""
     rest = [c for c in trips.columns if c != "pickup_datetime"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -16,18 +17,120 @@ BINS = 1024
 BROADCAST_BYTES = 64 * 1024 * 1024
 SPAN_BYTES = 256  # of a span besides its key
 SALTS = 64
+SKETCH_SIZE = 4096
 
 Pick = Callable[[Column], Column]
 
 
-def floor_index(p: float) -> Pick:
+@dataclass(frozen=True)
+class Share:
+    """The rank of the value that a share of the values lies below, by a rule for its 0-based index."""
+
+    p: float
+    index: Pick
+
+    def __call__(self, n: Column) -> Column:
+        return self.index(n)
+
+
+def floor_index(p: float) -> Share:
     """0-based index ``floor(n * p)``."""
-    return lambda n: F.floor(n * F.lit(float(p)))
+    return Share(float(p), lambda n: F.floor(n * F.lit(float(p))))
 
 
-def discrete_index(p: float) -> Pick:
+def discrete_index(p: float) -> Share:
     """0-based index of the smallest value with at least a share ``p`` at or below it."""
-    return lambda n: F.greatest(F.ceil(n * F.lit(float(p))) - 1, F.lit(0))
+    return Share(float(p), lambda n: F.greatest(F.ceil(n * F.lit(float(p))) - 1, F.lit(0)))
+
+
+def rank_margin(k: int) -> float:
+    """How far a rank in a KLL sketch of size ``k`` can be off: four times the error it keeps with 99 %."""
+    return 4 * 2.296 / k**0.9021
+
+
+def bracketed(
+    df: DataFrame, values: Sequence[str], picks: Mapping[str, Share], by: Sequence[str] = (), k: int = SKETCH_SIZE
+) -> DataFrame:
+    """Exact values at given ranks of several columns, from two passes: a lazy plan, no job while it is built.
+
+    One row per group: ``key`` (struct of ``by``) and for each column ``c`` a struct ``c`` with ``size, mean,
+    lo, hi`` and one field per pick. The first pass sketches all columns at once; a mergeable sketch gives
+    two values that surely lie on either side of each wanted rank. The second counts every value: by itself
+    if it is inside a bracket or at its end, else with all others between the same two ends. So at most
+    ``2 * rank_margin(k)`` of a group (all of a group of up to ``16 * k`` values) are told apart.
+
+    Sketches are random and may come out otherwise when a task is repeated. That shows in what is
+    counted together, not in the result: a rank that falls on values counted together, or cells that overlap,
+    are an error and never a wrong value. Nulls are left out; NaN comes last.
+    """
+    rows = df.select(group_key(by).alias("key"), *[F.col(c).cast("double").alias(c) for c in values])
+    facts = rows.groupBy("key").agg(
+        *[f(c).alias(f"{c}|{n}") for c in values for n, f in (("size", F.count), ("mean", F.avg), ("lo", F.min), ("hi", F.max))]
+    )
+    sketched = rows.groupBy(F.col("key").alias("of")).agg(
+        *[f(c).alias(f"{c}|{n}") for c in values for n, f in (("size", F.count), ("lo", F.min), ("hi", F.max))],
+        *[F.kll_sketch_agg_double(_ordered(F.col(c)), F.lit(k)).alias(f"{c}|sketch") for c in values],
+    )
+    bounds = sketched.select("of", *_brackets(values, picks, k))
+    both = rows.join(bounds, F.col("key") == F.col("of")) if by else rows.crossJoin(F.broadcast(bounds))  # one row
+    cells = [_cell(i, c, picks) for i, c in enumerate(values)]
+    told = both.select("key", F.inline(F.array(*cells))).where("cell IS NOT NULL")
+    tally = told.groupBy("key", "spot", "cell", "kept").agg(F.count("*").alias("n"), F.min("v").alias("first"), F.max("v").alias("last"))
+    group = W.partitionBy("key", "spot")
+    in_order = group.orderBy("cell", "kept")
+    tally = tally.withColumns(
+        {
+            "upto": F.sum("n").over(in_order.rowsBetween(W.unboundedPreceding, W.currentRow)),
+            "size": F.sum("n").over(group),
+            "apart": F.coalesce(F.lag("last").over(in_order) < F.col("first"), F.lit(True)),
+        }
+    )
+    ranked = tally.groupBy("key", "spot").agg(
+        *[F.max_by(F.struct("kept"), F.when(_falls_here(pick), F.lit(1))).alias(name) for name, pick in picks.items()],
+        F.min("apart").alias("apart"),
+    )
+    lost = F.raise_error(F.lit("a rank lies outside its bracket")).cast("double")
+    whole = {n: F.when(F.col("apart") & F.col(f"`{n}`.kept").isNotNull(), F.col(f"`{n}`.kept")).otherwise(lost) for n in picks}
+    wide = ranked.select("key", "spot", *[v.alias(n) for n, v in whole.items()]).groupBy(F.col("key").alias("ranked")).agg(
+        *[F.max(F.when(F.col("spot") == i, F.col(f"`{n}`"))).alias(f"{c}|{n}") for i, c in enumerate(values) for n in picks]
+    )
+    stats = facts.join(wide, F.col("key") == F.col("ranked"), "left")
+    fields = ("size", "mean", "lo", "hi", *picks)
+    return stats.select("key", *[F.struct(*[F.col(f"`{c}|{n}`").alias(n) for n in fields]).alias(c) for c in values])
+
+
+def _ordered(v: Column) -> Column:
+    """Sketches have no NaN: it counts as infinite there."""
+    return F.when(F.isnan(v), F.lit(float("inf"))).otherwise(v)
+
+
+def _brackets(values: Sequence[str], picks: Mapping[str, Share], k: int) -> list[Column]:
+    out, margin = [], rank_margin(k)
+    for c in values:
+        size, sketch = F.col(f"`{c}|size`"), F.col(f"`{c}|sketch`")
+        for name, pick in picks.items():
+            for side, share, end in (("low", pick.p - margin, "lo"), ("high", pick.p + margin, "hi")):
+                bound = _ordered(F.col(f"`{c}|{end}`"))
+                if 0 < share < 1:
+                    bound = F.when(size > 16 * k, F.kll_sketch_get_quantile_double(sketch, F.lit(share))).otherwise(bound)
+                out.append(bound.alias(f"{c}|{name}|{side}"))
+    return out
+
+
+def _cell(spot: int, c: str, picks: Mapping[str, Share]) -> Column:
+    """Where a value lies among the ends of the brackets, and the value itself where it is not counted with others."""
+    v, cell, kept = F.col(c), F.lit(0), F.lit(False)
+    for name in picks:
+        low, high = F.col(f"`{c}|{name}|low`"), F.col(f"`{c}|{name}|high`")
+        for end in (low, high):
+            cell = cell + (end < v).cast("int") + (end <= v).cast("int")
+        kept = kept | ((v >= low) & ((v <= high) | (high == F.lit(float("inf")))))  # NaN comes after an infinite end
+    return F.struct(F.lit(spot).alias("spot"), cell.alias("cell"), F.when(kept, v).alias("kept"), v.alias("v"))
+
+
+def _falls_here(pick: Share) -> Column:
+    index = F.least(pick(F.col("size")), F.col("size") - 1)
+    return (index >= F.col("upto") - F.col("n")) & (index < F.col("upto"))
 
 
 def group_key(by: Sequence[str]) -> Column:
