@@ -74,8 +74,22 @@ def test_only_measured_hot_zones_are_cut(spark, make_trips, zones):
     trips = once.unionByName(make_trips({"DOLocationID": 4}).withColumn("total_amount", amounts))
     assert lookup.hot_zones(trips) == {"pickup": {4: 8}, "dropoff": {4: 8}}
     assert lookup.hot_zones(trips.limit(0)) == {"pickup": {}, "dropoff": {}}
-    merged = lookup.with_zones(trips, zones, strategy="merge")
-    assert merged.exceptAll(lookup.with_zones(trips, zones)).count() == 0 and merged.count() == 1001
+    for salts in (None, 3, lookup.hot_zones(trips)):
+        merged = lookup.with_zones(trips, zones, strategy="merge", salts=salts)
+        assert merged.exceptAll(lookup.with_zones(trips, zones)).count() == 0 and merged.count() == 1001
+
+
+def test_a_merge_join_reads_the_trips_once(spark, make_trips, zones, tmp_path):
+    make_trips({}, {}).write.parquet(str(tmp_path / "trips"))
+    trips, facts = spark.read.parquet(str(tmp_path / "trips")), lookup.measure_zones(zones)
+    spark.sparkContext.setJobGroup("joining", "none expected")
+    try:
+        merged = lookup.with_zones(trips, zones, strategy="merge", facts=facts)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("joining")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    physical = merged._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("FileScan parquet") == 1 and physical.count("SortMergeJoin") == 2
 
 
 def test_clean_jobs(make_trips, zones):

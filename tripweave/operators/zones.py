@@ -61,7 +61,7 @@ def with_zones(
     exclude: Sequence[str] = EXCLUDED_BOROUGHS,
     strategy: str = "auto",
     details: bool = False,
-    salts: int | None = None,
+    salts: int | Mapping[str, Mapping[int, int]] | None = None,
     facts: ZoneFacts | None = None,
 ) -> DataFrame:
     """Inner-join the zones twice and add ``pickup_borough`` and ``dropoff_borough``.
@@ -71,10 +71,10 @@ def with_zones(
     fails on a table over the bound. ``details`` also adds ``*_zone`` and
     ``*_service_zone``. Pass ``facts`` to reuse an earlier measurement.
 
-    Before shuffled joins the trips are counted by id (one job, combined map-side), and a
-    zone of over ``HOT_SHARE`` of them is cut into as many pieces as its share of the
-    shuffle partitions; ``salts`` skips the count and cuts every zone into so many.
-    Streamed trips cannot be counted beforehand and are not cut.
+    Shuffled joins read the trips once. A zone of many trips is cut at run time: the sizes that the
+    shuffle measures tell the engine which partitions to split (adaptive execution, on by
+    default). Where that is off, ``salts`` cuts every zone into so many pieces, or, as ``hot_zones`` gives
+    them, the hot zones of each role.
     """
     if strategy not in ("auto", "broadcast", "merge"):
         raise ValueError(f"unknown join strategy {strategy!r}")
@@ -83,15 +83,13 @@ def with_zones(
         raise ValueError(f"zone table too large to broadcast: {facts}")
     broadcast = facts.broadcastable and strategy != "merge"
     lookup = usable_zones(zones, exclude)
-    joined, pieces = trips, {}
-    if not broadcast and salts is None and not trips.isStreaming:
-        pieces = hot_zones(trips)
+    joined = trips
     for role, key in ROLES:
         side = _role_side(lookup, role, details)
         if broadcast:
             joined = joined.join(F.broadcast(side), F.col(key) == F.col(f"{role}_id"), "inner")
         else:
-            joined = _salted_merge(joined, side, key, f"{role}_id", salts or pieces.get(role, 1))
+            joined = _salted_merge(joined, side, key, f"{role}_id", salts.get(role, {}) if isinstance(salts, Mapping) else salts or 1)
     return joined.drop(*[f"{role}_id" for role, _ in ROLES])
 
 
@@ -103,7 +101,10 @@ def _role_side(lookup: DataFrame, role: str, details: bool) -> DataFrame:
 
 
 def hot_zones(trips: DataFrame) -> dict[str, dict[int, int]]:
-    """Per role the ids of over ``HOT_SHARE`` of the trips, and how many shuffle partitions their share fills."""
+    """Per role the ids of over ``HOT_SHARE`` of the trips, and how many shuffle partitions their share fills.
+
+    For ``salts``, where adaptive execution is off. One job that reads the trips and counts them map-side.
+    """
     partitions = int(trips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ends = F.array(*[F.struct(F.lit(role).alias("role"), F.col(key).cast("long").alias("id")) for role, key in ROLES])
     counts = (
@@ -130,6 +131,8 @@ def _salted_merge(trips: DataFrame, side: DataFrame, key: str, side_key: str, sa
     a hash of the row, so a retried task repeats it exactly. Identical rows share a salt;
     AQE's skew-join split handles what they pile up.
     """
+    if salts == 1:
+        return trips.join(side.hint("merge"), F.col(key) == F.col(side_key), "inner")
     salted = trips.withColumn("_salt", F.pmod(F.xxhash64(*_salt_columns(trips)), _pieces(key, salts)))
     numbers = F.sequence(F.lit(0), _pieces(side_key, salts) - 1).cast("array<bigint>")
     copies = side.withColumn("_copy", F.explode(numbers))
