@@ -118,7 +118,7 @@ def test_awkward_rows(spark):
     assert simhash.one_of_each(awkward.empty(spark), alike.grouped).count() == 0
 
 
-@pytest.mark.parametrize("size", [1 << 26, 1 << 16])
+@pytest.mark.parametrize("size", [1 << 24, 1 << 16])
 def test_marks_miss_nothing(spark, monkeypatch, size):
     shipped(spark)
     monkeypatch.setattr(common, "MARKS", size)

@@ -77,11 +77,11 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return stored[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-MARKS = 1 << 26  # bits of a set of marks: 2048 bitmaps of 4 KB, so it can be sent to every task whatever it marks
+MARKS = 1 << 24  # bits of a set of marks: 512 bitmaps of 4 KB, so it can be sent to every task whatever it marks
 
 
 def marks(keys: DataFrame) -> DataFrame:
-    """A bounded set of marks for the ``key`` (long) of every row: 2048 rows of ``bucket, bits`` at most."""
+    """A bounded set of marks for the ``key`` (long) of every row: 512 rows of ``bucket, bits`` at most."""
     slot = F.pmod("key", F.lit(MARKS)) + 1
     made = keys.select(F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("position"))
     return settled(made.groupBy("bucket").agg(F.bitmap_construct_agg("position").alias("bits")), "marks")
