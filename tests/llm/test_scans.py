@@ -75,6 +75,85 @@ def test_guess_cost_is_the_least_over_all_cuts():
         assert cost.of(value) == pytest.approx(best(0, False))
 
 
+def segments_by_hand(value, words):
+    """Every substring that is a known word, a date, a repeated block or a walk, with its cost; from the definitions."""
+    import math
+
+    def brute(text):
+        return sum(1.0 if c.isdigit() else math.log10(26) if c.isascii() and c.isalpha() else math.log10(33) for c in text)
+
+    rows = ["qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz"]
+    lines = rows + [r[::-1] for r in rows]
+    leet = str.maketrans("013457@$!", "oieastasi")
+    out = {}
+    for i in range(len(value)):
+        for j in range(i + 1, len(value) + 1):
+            part, costs = value[i:j], []
+            for spelled, extra in ((part.lower(), 0.0), (part.lower().translate(leet), 0.3)):
+                if j - i >= 3 and spelled in words:
+                    costs.append(math.log10(words.index(spelled) + 2) + extra + (0.5 if part != part.lower() else 0))
+            sign = r"([-/._]?)"
+            year, month, day = r"(?:19|20)[0-9]{2}", r"(?:0[1-9]|1[0-2])", r"(?:0[1-9]|[12][0-9]|3[01])"
+            if re.fullmatch(year, part):
+                costs.append(2.1)
+            if re.fullmatch(rf"{year}{sign}{month}\1{day}|{day}([-/._]?){month}\2{year}", part):
+                costs.append(4.6)
+            for size in range(1, 9):
+                if (j - i) % size == 0 and (j - i) // size >= 3 and part == part[:size] * ((j - i) // size):
+                    costs.append(brute(part[:size]) + math.log10((j - i) // size))
+            if j - i >= 3 and any(all(x + y in line for x, y in zip(part.lower(), part.lower()[1:])) for line in lines):
+                costs.append(math.log10(60) + math.log10(j - i))
+            if costs:
+                out[i, j] = min(costs)
+    return out
+
+
+VALUES = (
+    "love2019", "monkeyuiop991", "dragonqwer", "z9secret", "aaaa1x", "xababababy", "Passw0rd", "12122019", "2019-05-06x", "31.12.1999",
+    "abcabcabcab", "lkjhgf123", "aaaaaaaa", "P@ssw0rd!!!", "qwertyqwertyqwerty", "1999199919", "zzqwezz", "01/02/2003", "mmm", "20192019",
+)
+
+
+@pytest.mark.parametrize("value", VALUES)
+def test_guess_cost_by_hand(value):
+    """Over every cut of a value into segments that the definitions, not the module, list."""
+    import math
+    from functools import lru_cache
+
+    words = ["monkey", "love", "dragon", "password", "secret", "keyu", "pass"]
+    segments = segments_by_hand(value, words)
+
+    @lru_cache(None)
+    def best(at, tried):
+        if at == len(value):
+            return 0.0
+        letter = 1.0 if value[at].isdigit() else math.log10(26) if value[at].isascii() and value[at].isalpha() else math.log10(33)
+        ways = [letter + (0 if tried else math.log10(4)) + best(at + 1, True)]
+        ways += [c + math.log10(4) + best(j, False) for (i, j), c in segments.items() if i == at]
+        return min(ways)
+
+    assert credentials.GuessCost(words).of(value) == pytest.approx(best(0, False))
+
+
+def test_letters_alone_can_be_a_secret_and_walks_are_guessed():
+    cost = credentials.GuessCost()
+    for text, found in (
+        ("password is zqxvkjwptr", ["zqxvkjwptr"]),
+        ("password => qzjxkvbwpmfh", ["qzjxkvbwpmfh"]),
+        ("password is monkeyuiop991", []),
+        ("the token is required", []),
+    ):
+        assert [text[s:e] for s, _, e in credentials.guessed_spans(text, cost)] == found
+
+
+def test_words_of_the_documents_are_known(spark):
+    docs = spark.createDataFrame([(i, "the extraordinary meeting") for i in range(3)] + [(9, "password is extraordinary qwzzt"), (10, None)], "doc_id long, text string")
+    assert credentials.common_words(docs, 2) == ["extraordinary", "meeting"]
+    assert [r["spans"] for r in credentials.scan(docs).collect()] == [""] * 5
+    alone = docs.where("doc_id = 9")
+    assert [r["spans"] for r in credentials.scan(alone, credentials.WORDS).collect()] == ["guess:12:25"]
+
+
 def test_redaction(spark):
     docs = awkward.documents(spark, (*awkward.TEXTS, *SECRETS))
     out = credentials.redacted(docs)
@@ -235,6 +314,19 @@ def test_language_of_awkward_texts(spark):
     assert {r["lang_pred"] for r in langid.predict(docs, nothing).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("text", ["one\ttwo\ttreß\u00a0vier " * 30, "abcdefg" * 60, "", "a", "  ", "éà" * 41 + "9", "ΑΣ ΣΑ'Σ " * 20, "İi" * 50])
+@pytest.mark.parametrize("size", [1, 2, 3, 40, 1 << 20])
+def test_slices_are_cut_anywhere(monkeypatch, text, size):
+    monkeypatch.setattr(langid, "SLICE", size)
+    grams, counts = langid.tallied(text)
+    assert dict(zip(grams.tolist(), counts.tolist())) == Counter(langid.ngrams(text).tolist())
+
+
+def test_profiles_are_ranked_before_the_shuffle(spark):
+    docs = spark.createDataFrame([("x", "some words")], "lang string, text string")
+    assert "WindowGroupLimit" in langid.learn(docs)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_slices_of_long_texts_add_up(monkeypatch):
     text = "ein zwei drei vier " * 50
     whole = langid.tallied(text)

@@ -2,8 +2,9 @@
 
 The guess cost of a value is the least, over all ways to cut it into segments, of the
 sum of the segments' costs, in decimal digits. A segment is a known word, a date, a
-repeated block, a walk over the keyboard or characters to be tried one by one. The
-minimum is found by dynamic programming over the positions of the value.
+block repeated three times or more, a walk over the keyboard or characters to be tried one by one. The
+minimum is found by dynamic programming over the positions of the value. (Of a block repeated over
+``EACH`` times, numbers of repeats between that and all of them are no segments.)
 """
 
 from __future__ import annotations
@@ -38,8 +39,10 @@ CONTEXT = re.compile(
 )
 HINTS = ("pass", "pwd", "secret", "token", "credential", "key")  # without one of these no context can match
 COSTLY = 10.0  # decimal digits of guesses from which a value counts as a secret
+PROSE = 4.0  # more of them are asked of a value of letters alone, which may be a rare word
+DICTIONARY = 20_000  # words of the documents, commonest first, that a guesser would know: a bound, as a parameter
 
-# Words that people choose, commonest first: an ordinary short list, given as a parameter.
+# Words that people choose, commonest first: an ordinary short list, tried before those of the documents.
 WORDS = (
     "password secret admin welcome login master letmein monkey dragon sunshine princess football baseball shadow "
     "superman batman trustno hello freedom whatever summer winter spring autumn changeme default guest root test user "
@@ -49,10 +52,17 @@ WORDS = (
     "false this that with from have the and for you are not but all can one out day get has him his how man new now"
 ).split()
 KEYBOARD = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz")
-DATE = re.compile(
-    r"(?a:(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])"
-    r"|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d)"
-)
+# Year first, year last, and a year alone; looked for at every place.
+DATES = [
+    re.compile(rf"(?a:(?=({pattern})))")
+    for pattern in (
+        r"(?:19|20)\d\d(?P<sign>[-/._]?)(?:0[1-9]|1[0-2])(?P=sign)(?:0[1-9]|[12]\d|3[01])",
+        r"(?:0[1-9]|[12]\d|3[01])(?P<sign>[-/._]?)(?:0[1-9]|1[0-2])(?P=sign)(?:19|20)\d\d",
+        r"(?:19|20)\d\d",
+    )
+]
+BLOCK = 8  # characters of the longest block whose repeats are looked for
+EACH = 64  # repeats up to which every number of them is a segment; beyond, all there are
 LEET = str.maketrans("013457@$!", "oieastasi")
 REMEMBERED = 128  # characters of a value whose cost is kept for when it recurs
 SEGMENT = math.log10(4)  # what it costs to know where another segment starts
@@ -100,22 +110,37 @@ class GuessCost:
                     if (rank := self.ranks.get(spelled[start:stop])) is not None:
                         cased = 0.0 if value[start:stop] == lower[start:stop] else 0.5
                         yield start, stop, rank + extra + cased
-        for found in DATE.finditer(value):
-            yield *found.span(), 2.1 if len(found[0]) == 4 else 4.6
-        for found in re.finditer(r"(?s)(.{1,8}?)\1{2,}", value):
-            block = sum(map(_alphabet, found[1]))
-            yield *found.span(), block + math.log10(len(found[0]) // len(found[1]))
+        for pattern in DATES:
+            for found in pattern.finditer(value):
+                yield *found.span(1), 2.1 if len(found[1]) == 4 else 4.6
+        yield from self._repeats(value)
         yield from self._walks(lower)
 
+    @staticmethod
+    def _repeats(value: str) -> Iterator[tuple[int, int, float]]:
+        """Blocks that come three times or more in a row, from every place."""
+        for size in range(1, min(BLOCK, len(value) // 3) + 1):
+            like = 0  # characters from here on that equal those a block later
+            for start in range(len(value) - size - 1, -1, -1):
+                like = like + 1 if value[start] == value[start + size] else 0
+                most = like // size + 1
+                if most < 3:
+                    continue
+                block = sum(map(_alphabet, value[start : start + size]))
+                for times in {*range(3, min(most, EACH) + 1), most}:
+                    yield start, start + size * times, block + math.log10(times)
+
     @staticmethod
     def _walks(lower: str) -> Iterator[tuple[int, int, float]]:
+        """Three keys or more in a row of the keyboard or the alphabet, from every place and of every length."""
         for row in KEYBOARD:
             for line in (row, row[::-1]):
                 start = 0
                 for i in range(1, len(lower) + 1):
                     if i == len(lower) or lower[i - 1] + lower[i] not in line:
-                        if i - start >= 3:
-                            yield start, i, math.log10(60) + math.log10(i - start)
+                        for first in range(start, i - 2):
+                            for stop in range(first + 3, i + 1):
+                                yield first, stop, math.log10(60) + math.log10(stop - first)
                         start = i
 
 
@@ -139,7 +164,7 @@ def guessed_spans(text: str, cost: GuessCost, costly: float = COSTLY) -> list[tu
     return [
         (match.start(2), KINDS.index("guess"), match.end(2))
         for match in CONTEXT.finditer(text)
-        if _secretive(match[2]) and cost.of(match[2].rstrip(".,;:)")) >= costly
+        if _costly((value := match[2].rstrip(".,;:)")), cost, costly)
     ]
 
 
@@ -148,23 +173,35 @@ def _hinted(text: str) -> bool:
     return any(map(lower.__contains__, HINTS))
 
 
-def _secretive(value: str) -> bool:
-    """Prose after a colon is words of one alphabet; a secret mixes digits or signs with letters, or is long."""
-    inner = value.rstrip(".,;:)")
-    return len(inner) >= 6 and (len(inner) >= 20 or any(not c.isalpha() for c in inner))
+def _costly(value: str, cost: GuessCost, costly: float) -> bool:
+    return len(value) >= SHORTEST["assign"] and cost.of(value) >= costly + (PROSE if value.isalpha() else 0)
+
+
+def common_words(docs: DataFrame, size: int = DICTIONARY) -> list[str]:
+    """The ``size`` commonest words of four to twenty letters a-z in the texts, counted over all of them, a text's words once."""
+    words = F.explode(F.array_distinct(F.split(F.lower("text"), "[^a-z]+"))).alias("word")
+    counts = docs.select(words).where("length(word) BETWEEN 4 AND 20").groupBy("word").agg(F.count("*").alias("n"))
+    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
+
+
+def _known(docs: DataFrame, words: Iterable[str] | None) -> tuple[str, ...]:
+    return tuple(words) if words is not None else (*WORDS, *common_words(docs))
 
 
 def written(spans: Iterable[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in sorted(spans))
 
 
-def scan(docs: DataFrame, words: Iterable[str] = WORDS, costly: float = COSTLY) -> DataFrame:
+def scan(docs: DataFrame, words: Iterable[str] | None = None, costly: float = COSTLY) -> DataFrame:
     """The secrets of every document, one row each, in one pass without a shuffle.
 
+    ``words`` are those a guesser tries, commonest first: by default ``WORDS`` and the documents' own
+    ``common_words``, which are counted first.
+
     Positions count code points. A null text is an empty one; repeated rows are scanned
     each; an empty table gives no rows; other columns of ``docs`` are not read.
     """
-    words = tuple(words)
+    words = _known(docs, words)
 
     def run(batches):
         cost = GuessCost(words)
@@ -187,17 +224,19 @@ def scan(docs: DataFrame, words: Iterable[str] = WORDS, costly: float = COSTLY)
     )
 
 
-def redacted(docs: DataFrame, mask: str = "[secret]", costly: float = COSTLY) -> DataFrame:
+def redacted(
+    docs: DataFrame, mask: str = "[secret]", costly: float = COSTLY, words: Iterable[str] | None = None
+) -> DataFrame:
     """``docs`` with every secret span replaced by ``mask``; overlapping spans become one mask.
 
     Rows, their order of columns and the other columns stay; ``n_chars`` follows the text
     where there is such a column. A null text stays null.
     """
 
-    place = docs.columns.index("text")
+    place, words = docs.columns.index("text"), _known(docs, words)
 
     def run(batches):
-        cost = GuessCost()
+        cost = GuessCost(words)
         for batch in pieces(batches, place):
             texts = [None if t is None else hidden(t, cost, mask, costly) for t in batch.column(place).to_pylist()]
             yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))

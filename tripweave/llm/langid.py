@@ -65,20 +65,34 @@ def counted(grams: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nda
 def tallied(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams of a whole text and their counts, a slice at a time.
 
-    Slices end at white space, where no n-gram is lost; only a run of over ``SLICE``
-    characters without any is cut as if a word ended there.
+    A slice goes on where the one before it ended, in the middle of a word too: the last two symbols are
+    carried over, and only n-grams that end in the slice are its own.
     """
-    parts, at = [], 0
-    while at < len(text) or not parts:
-        stop = at + SLICE
-        if stop < len(text):
-            space = max(text.rfind(" ", at + 1, stop), text.rfind("\n", at + 1, stop))
-            stop = space if space > at else stop
-        parts.append(counted(ngrams(text[at:stop])))
-        at = stop
+    text, parts, carried = text.lower(), [], np.array([SPACE])
+    for at in range(0, len(text) + 1, SLICE):
+        points = np.frombuffer(text[at : at + SLICE].encode("utf-32-le", "surrogatepass"), np.uint32)
+        symbols = np.where(_letters()[points], points, SPACE)
+        if at + SLICE > len(text):
+            symbols = np.append(symbols, SPACE)
+        symbols = np.concatenate((carried, symbols))
+        space = symbols == SPACE
+        kept = np.ones(len(symbols), bool)
+        kept[1:] = ~(space[1:] & space[:-1])
+        symbols = symbols[kept]
+        parts.append(counted(_ending_after(symbols.astype(np.int64), len(carried))))
+        carried = symbols[-2:]
     return parts[0] if len(parts) == 1 else merged(parts)
 
 
+def _ending_after(a: np.ndarray, first: int) -> np.ndarray:
+    """The n-grams of a run of symbols that end at its place ``first`` or later."""
+    word = a != SPACE
+    one = a[first:][word[first:]] << 42
+    two = ((a[:-1] << 42) | (a[1:] << 21))[first - 1 :]
+    three = ((a[:-2] << 42) | (a[1:-1] << 21) | a[2:])
+    return np.concatenate((one, two, three[max(0, first - 2) :][word[1:-1][max(0, first - 2) :]]))
+
+
 def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     return counted(*(np.concatenate(x) for x in zip(*parts)))
 
@@ -110,8 +124,10 @@ def learn(docs: DataFrame, size: int = PROFILE) -> DataFrame:
 
     usable = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
     counts = usable.mapInArrow(run, "lang string, ngram long, n long").groupBy("lang", "ngram").agg(F.sum("n").alias("n"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "ngram")) - 1
-    return counts.withColumn("place", place).where(F.col("place") < size).select("lang", "ngram", "place")
+    # compared as it is, so that every task drops all but the first ones before the shuffle
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "ngram"))
+    first = counts.withColumn("rank", rank).where(F.col("rank") <= size)
+    return first.select("lang", "ngram", (F.col("rank") - 1).alias("place"))
 
 
 def _tables(held):
