@@ -1,4 +1,4 @@
-"""Exact removal of long repeated byte strings by a logarithmic family of sparse suffix arrays.
+"""Exact removal of long repeated byte strings by a logarithmic family of sparse suffix indexes.
 
 Two equal strings of ``LENGTH`` bytes contain the same anchor at the same place: the gram
 of ``GRAM`` bytes with the least hash among all in the string. Only suffixes that start at
@@ -6,8 +6,9 @@ an anchor are indexed. Neighbouring windows of ``LENGTH`` bytes that share their
 form a run; a run is entered by the hash of its anchor (``key``) and of all bytes that its
 windows cover (``extent``).
 
-Runs are dealt out by key. Each batch of runs is sorted (its suffix array) and merge-scanned
-with the sorted levels that exist: entries of one key and extent are one long string, and
+Runs are dealt out by key. Each batch of runs is sorted, not by the bytes of its suffixes but by
+hashes of their first ``GRAM`` bytes and of their extents, which brings equal strings together all the
+same, and is merge-scanned with the sorted levels that exist: entries of one key and extent are one long string, and
 the later one is a repeat. What is new becomes a level; levels of equal size are merged, so
 an entry is moved a logarithmic number of times. Where one key has several extents, repeats
 may begin or end inside a run. The windows of such runs, few in number, go through the same
@@ -40,17 +41,18 @@ CELL = 8  # windows of a cell; the bytes on either side of its core fit in a lon
 BLOCK = 1 << 18  # window starts looked at together
 BATCH_BYTES = 16 << 20
 BATCH_ROWS = 1 << 17
+TASK_ROWS = 1 << 21  # entries that one family holds, about
 REPEAT, COMPARE, ENTRY = 0, 1, 2  # a row removes bytes, has its windows compared, or is an entry to be indexed
 
 # ``place`` holds a start, how far the anchor is behind it, a number of windows and what the row is.
-ENTRIES = (("key", pa.int64()), ("extent", pa.int64()), ("doc", pa.int64()), ("part", pa.int32()), ("place", pa.int64()))
+ENTRIES = (("key", pa.int64()), ("extent", pa.int64()), ("doc", pa.int64()), ("part", pa.int64()), ("place", pa.int64()))
 CELLS = (*ENTRIES, ("before", pa.int64()), ("after", pa.int64()))
 KIND_BITS, COUNT_BITS, LEAD_BITS = 2, 21, 7
 MOST_WINDOWS = (1 << COUNT_BITS) - 1
 
 
 def ddl(fields) -> str:
-    return ", ".join(f"{name} {'int' if kind == pa.int32() else 'long'}" for name, kind in fields)
+    return ", ".join(f"{name} long" for name, _ in fields)
 
 
 def packed(start, lead, count, kind):
@@ -357,8 +359,11 @@ def _spread():
     return F.when(aside, F.xxhash64("doc", "part", "place")).otherwise(F.col("key"))
 
 
-def indexed(rows: DataFrame, fields=ENTRIES) -> DataFrame:
-    """The same columns for repeats (``place`` counts), and for entries whose windows have to be compared."""
+def indexed(rows: DataFrame, fields=ENTRIES, tasks: int = 0) -> DataFrame:
+    """The same columns for repeats (``place`` counts), and for entries whose windows have to be compared.
+
+    The entries are dealt to ``tasks`` families, or to as many as the session shuffles to if that is more.
+    """
 
     def run(batches):
         family, waiting, like = Family(), [], None
@@ -376,14 +381,16 @@ def indexed(rows: DataFrame, fields=ENTRIES) -> DataFrame:
         if like is not None:
             yield _batch(family.unsettled(like), fields, COMPARE)
 
-    return rows.repartition(_spread()).mapInArrow(run, ddl(fields))
+    enough = tasks <= int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(_spread()) if enough else rows.repartition(tasks, _spread())
+    return dealt.mapInArrow(run, ddl(fields))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
     """``doc, part, text``: ids without nulls; ``part`` tells apart rows that repeat an id, 0 where none does."""
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID))
     repeated = not docs.groupBy(doc.alias("doc")).count().where("count > 1").isEmpty()
-    part = F.hash("text") if repeated else F.lit(0)
+    part = F.xxhash64("text") if repeated else F.lit(0).cast("long")
     return docs.select("doc_id", doc.alias("doc"), part.alias("part"), "text")
 
 
@@ -435,9 +442,11 @@ def _window_rows(compared: DataFrame) -> DataFrame:
 def repeats(texts: DataFrame) -> DataFrame:
     """``doc, part, place`` of all runs, cells and windows that also start earlier."""
     kind = F.col("place").bitwiseAND(3)
-    by_run = settled(indexed(_entry_rows(texts)).select("doc", "part", "place"), "runs")
-    by_cell = indexed(_cell_rows(texts, by_run.where(kind == COMPARE)), CELLS)
-    by_window = indexed(_window_rows(by_cell.where(kind == COMPARE)))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = size // (GRAM * TASK_ROWS) + 1  # an anchor comes every ``GRAM`` bytes, about
+    by_run = settled(indexed(_entry_rows(texts), tasks=tasks).select("doc", "part", "place"), "runs")
+    by_cell = indexed(_cell_rows(texts, by_run.where(kind == COMPARE)), CELLS, tasks)
+    by_window = indexed(_window_rows(by_cell.where(kind == COMPARE)), tasks=tasks)
     found = [step.where(kind == REPEAT).select("doc", "part", "place") for step in (by_run, by_cell, by_window)]
     return found[0].unionByName(found[1]).unionByName(found[2])
 
