@@ -171,10 +171,15 @@ def unreadable_files(schemas: DataFrame) -> DataFrame:
 
 def _collapse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Merge neighbours of equal schema; the input is one sorted partition, a stretch of the files."""
+    from pyspark import TaskContext
+
     columns, piece, place = ["stretch", "place", "first_file", "last_file", "files", "schema"], None, 0
+    stretch = TaskContext.get().partitionId()
     for batch in batches:
         done = []
-        for stretch, path, schema in zip(batch["stretch"], batch["path"], batch["schema"], strict=True):
+        for path, schema in zip(batch["path"], batch["schema"], strict=True):
+            if schema is None:
+                continue
             if piece is not None and piece[5] == schema:
                 piece = (*piece[:3], path, piece[4] + 1, schema)
                 continue
@@ -198,18 +203,17 @@ def schema_runs(files: DataFrame, tasks: int | None = None) -> DataFrame:
     schema and its pieces; from these few rows follow the runs that begin before it, and whether its
     first piece goes on with the run before.
     """
-    known = files if "schema" in files.columns else file_schemas(files, tasks)
-    tasks = tasks or files.sparkSession.sparkContext.defaultParallelism
-    sound = known.where(F.col("schema").isNotNull()).select("path", "schema")
-    dealt = written(sound.repartitionByRange(tasks, "path").withColumn("stretch", F.spark_partition_id()), "files")
-    in_order = dealt.repartition(tasks, "stretch").sortWithinPartitions("stretch", "path")
-    pieces = written(in_order.mapInPandas(_collapse_each, PIECE_DDL), "pieces")
-    ends = pieces.groupBy("stretch").agg(
+    if "schema" in files.columns:
+        tasks = tasks or files.sparkSession.sparkContext.defaultParallelism
+        known = files.select("path", "schema").repartitionByRange(tasks, "path").sortWithinPartitions("path")
+    else:
+        known = file_schemas(files, tasks).select("path", "schema")
+    pieces = written(known.mapInPandas(_collapse, PIECE_DDL), "pieces")
+    ends = pieces.groupBy("stretch").agg(  # one row for each task
         F.max("place").alias("pieces"),
         F.min_by("schema", "place").alias("first"),
-        F.max(F.struct("place", "schema"))["schema"].alias("last"),
+        F.max_by("schema", "place").alias("last"),
     )
-    ends = written(ends, "stretches")  # one row for each task
     before = ends.select(F.col("stretch").alias("earlier"), F.col("last").alias("earlier_last"))
     joined = ends.join(F.broadcast(before), F.col("earlier") < F.col("stretch"), "left")
     begun = joined.groupBy("stretch", "pieces", "first").agg(F.max(F.struct("earlier", "earlier_last")).alias("previous"))
@@ -231,19 +235,6 @@ def schema_runs(files: DataFrame, tasks: int | None = None) -> DataFrame:
     )
 
 
-def _collapse_each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """``_collapse`` for each stretch of a task, one after another."""
-    from itertools import groupby
-
-    def parts():
-        for batch in batches:
-            for stretch, part in batch.groupby("stretch", sort=True):
-                yield stretch, part
-
-    for _, own in groupby(parts(), key=lambda item: item[0]):
-        yield from _collapse(part for _, part in own)
-
-
 def month_grid(spark: SparkSession, first: int = FIRST_YEAR, last: int = LAST_YEAR) -> DataFrame:
     """Every (year, month) of a span of years."""
     months = spark.range(12 * (last - first + 1))
