@@ -149,6 +149,9 @@ def test_letters_alone_can_be_a_secret_and_walks_are_guessed():
 def test_words_of_the_documents_are_known(spark):
     docs = spark.createDataFrame([(i, "the extraordinary meeting") for i in range(3)] + [(9, "password is extraordinary qwzzt"), (10, None)], "doc_id long, text string")
     assert credentials.common_words(docs, 2) == ["extraordinary", "meeting"]
+    assert credentials.common_words(docs, 3) == ["extraordinary", "meeting"]  # two more share the next class
+    assert credentials.common_words(docs, 4) == ["extraordinary", "meeting", "password", "qwzzt"]
+    assert credentials.common_words(docs, 0) == credentials.common_words(docs.limit(0)) == []
     assert [r["spans"] for r in credentials.scan(docs).collect()] == [""] * 5
     alone = docs.where("doc_id = 9")
     assert [r["spans"] for r in credentials.scan(alone, credentials.WORDS).collect()] == ["guess:12:25"]

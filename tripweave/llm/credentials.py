@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import pieces
+from tripweave.llm.common import pieces, settled
 
 # The base patterns, in the order in which spans with one start are listed.
 BASE = {
@@ -178,10 +178,25 @@ def _costly(value: str, cost: GuessCost, costly: float) -> bool:
 
 
 def common_words(docs: DataFrame, size: int = DICTIONARY) -> list[str]:
-    """The ``size`` commonest words of four to twenty letters a-z in the texts, counted over all of them, a text's words once."""
+    """The commonest words of four to twenty letters a-z in the texts, counted over all of them, a text's words once.
+
+    At most ``size``: words are put in classes by the logarithm of their count, and the classes from the
+    highest down that together have no more words are taken whole. So the driver gets the sizes of some
+    hundred classes and then the words, however many there are.
+    """
     words = F.explode(F.array_distinct(F.split(F.lower("text"), "[^a-z]+"))).alias("word")
     counts = docs.select(words).where("length(word) BETWEEN 4 AND 20").groupBy("word").agg(F.count("*").alias("n"))
-    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
+    counts = settled(counts.withColumn("class", F.floor(F.log2("n") * 8)), "words")
+    lowest, taken = None, 0
+    for row in counts.groupBy("class").agg(F.count("*").alias("size")).orderBy(F.desc("class")).collect():
+        taken += row["size"]
+        if taken > size:
+            break
+        lowest = row["class"]
+    if lowest is None:
+        return []
+    found = counts.where(F.col("class") >= lowest).select("word", "n").collect()
+    return [r["word"] for r in sorted(found, key=lambda r: (-r["n"], r["word"]))]
 
 
 def _known(docs: DataFrame, words: Iterable[str] | None) -> tuple[str, ...]:
