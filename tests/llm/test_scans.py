@@ -275,6 +275,29 @@ def test_quality_without_labels_or_documents(spark):
     assert kept.schema == docs.schema
 
 
+def test_quality_is_fitted_on_every_trusted_document(spark):
+    """With all of many documents trusted, both models are one."""
+    docs = spark.range(0, 21_000, 1, 8).selectExpr("id AS doc_id", "concat('word', id, ' of ', id * 7919) AS text")
+    docs = docs.unionByName(docs.where("doc_id < 3"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    assert not quality.fit(docs, labels).ratios.any()
+    strange = docs.unionByName(spark.createDataFrame([(-1, "zzzz" * 9), (None, "qqqq")], "doc_id long, text string"))
+    found = quality.fit(strange, labels)
+    assert found.ratios.any()
+    for levels in (0, 1):  # all or some ids are left to the join
+        moved = quality.fit(strange, labels, levels=levels)
+        assert (found.ratios == moved.ratios).all() and found.threshold == moved.threshold
+
+
+def test_trusted_rows_are_told_exactly(spark, monkeypatch):
+    """With few bits most ids are marked by chance, and many sets of marks are needed."""
+    monkeypatch.setattr("tripweave.llm.common.MARKS", 1 << 13)
+    docs = spark.range(0, 6000, 1, 4).selectExpr("if(id = 5, null, id % 5000) AS doc_id", "cast(id % 5000 AS string) AS text")
+    labels = spark.range(0, 9000, 3).selectExpr("id AS doc_id", "if(id % 2 = 0, 1, 0) AS quality")
+    got = Counter((r["text"], r["trusted"]) for r in quality.told(docs, labels).collect())
+    assert got == Counter((str(i % 5000), i != 5 and i % 5000 % 6 == 0) for i in range(6000))
+
+
 def test_language_on_held_out_documents(spark):
     folder = "/root/testdata/sf0.01"
     found = queries.op5_language_id(spark, folder).join(table(spark, folder, "documents", "doc_id", "lang"), "doc_id")

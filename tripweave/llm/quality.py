@@ -16,14 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import pieces, utf8
+from tripweave.llm.common import marks, pieces, settled, utf8, with_mark
 
 GRAM = 4
 BUCKETS = 1 << 15
 SCALE = 1 << 20
 BIN = 1 << 10
 SCORED_BYTES = 2 << 20
-TRUSTED_ROWS = 20_000  # bound of the sample of trusted rows on which the target model is fitted
+LEVELS = 12  # sets of marks that tell trusted ids from others; 2 MB each, far fewer are needed
 MISSED = 0.002  # share of trusted documents that may fall below the threshold
 MARGIN = 0.25  # natural logarithm per n-gram by which the threshold lies below that share
 SYMBOLS = "#*$%&|<>"  # fixed value
@@ -115,31 +115,52 @@ def base_failed(n_words: int, n_repeat_words: int) -> bool:
     return n_words < 50 or 100 * n_repeat_words > 50 * n_words
 
 
-def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """Ids of at most ``rows`` documents of quality 1, chosen by hash: small enough to be sent to every task."""
-    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).withColumn("trusted", F.lit(True))
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of all documents of quality 1."""
+    return labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = TRUSTED_ROWS, missed: float = MISSED) -> Model:
-    """Count both models over all of ``docs`` and place the threshold.
+def told(docs: DataFrame, labels: DataFrame, levels: int = LEVELS) -> DataFrame:
+    """``trusted, text`` of every row of ``docs``; ids move, texts stay where they are.
+
+    A set of marks holds all trusted ids, the next one the other ids that the first marks by chance, the next one
+    the trusted ids that the second marks by chance, and so on, until no id is marked by chance: how many sets in a row
+    mark an id then tells on which side it is. Ids that ``levels`` sets leave open are told by an exact join.
+    """
+    good = settled(trusted_ids(labels), "trusted_ids").withColumn("good", F.lit(True))
+    ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().join(good, "doc_id", "left")
+    ids = settled(ids.select("doc_id", F.coalesce("good", F.lit(False)).alias("trusted")), "ids")
+    held, others = ids.where("trusted").select("doc_id"), ids.where("NOT trusted").select("doc_id")
+    rows = docs.select("doc_id", "text").withColumn("hits", F.when(F.col("doc_id").isNull(), 0))
+    for level in range(levels):
+        key = F.xxhash64(F.lit(level), "doc_id")
+        marked = marks(held.select(key.alias("key")))
+        rows = with_mark(rows, key, marked).withColumn("hits", F.when(F.col("hits").isNull() & ~F.col("mark"), level).otherwise(F.col("hits")))
+        rows = rows.drop("mark")
+        wrong = settled(with_mark(others, key, marked).where("mark").select("doc_id"), "wrong")
+        held, others = wrong, held
+        if wrong.isEmpty():
+            return rows.select(F.expr("coalesce(hits, %d) %% 2 = 1" % (level + 1)).alias("trusted"), "text")
+    open_rows = rows.where("hits IS NULL").join(good, "doc_id", "left").select(F.coalesce("good", F.lit(False)).alias("trusted"), "text")
+    return rows.where("hits IS NOT NULL").select(F.expr("hits % 2 = 1").alias("trusted"), "text").unionByName(open_rows)
+
+
+def fit(docs: DataFrame, labels: DataFrame, missed: float = MISSED, levels: int = LEVELS) -> Model:
+    """Count both models over all of ``docs`` and all trusted ones, and place the threshold by all trusted ones.
 
     Only bounded tables reach the driver: the buckets and a histogram of scores.
     """
-    trusted = F.broadcast(trusted_ids(labels, rows))
-    texts = docs.select("doc_id", "text")
-    marked = texts.join(trusted, "doc_id", "left").select(F.coalesce("trusted", F.lit(False)).alias("trusted"), "text")
+    marked = told(docs, labels, levels)
     ratio = ratios(counts(marked).collect())
 
     def run(batches):
-        for batch in pieces(batches, limit=SCORED_BYTES):
-            passed = batch.column(1)
+        for batch in pieces(batches, 0, SCORED_BYTES):
+            passed = batch.column(0)
             sound = np.array([not _failed(text) for text in passed.to_pylist()], bool)
             score = scores(*utf8(passed), ratio)[sound]
             yield pa.RecordBatch.from_arrays([pa.array(score // BIN)], ["bin"])
 
-    sample = texts.join(trusted, "doc_id", "left_semi")
-    histogram = sample.mapInArrow(run, "bin long").groupBy("bin").count().collect()
+    histogram = marked.where("trusted").select("text").mapInArrow(run, "bin long").groupBy("bin").count().collect()
     return Model(ratio, _quantile(histogram, missed))
 
 
