@@ -128,3 +128,31 @@ def test_marks_miss_nothing(spark, monkeypatch, size):
     assert (True, False) not in counts and counts[True, True] == 2000
     assert counts[False, False] > (3990 if size > 1 << 20 else 3500)
     assert common.with_mark(keys, F.col("key"), common.marks(keys.limit(0))).where("mark").count() == 0
+
+
+def test_sets_meet_by_fingerprints_without_any_band(spark, monkeypatch):
+    """Ball hashing alone brings near copies of long texts together, and what it brings is compared exactly."""
+    rng = random.Random(12)
+    texts = []
+    for _ in range(5):
+        words = [f"w{rng.randrange(50_000)}" for _ in range(2500)]
+        texts += [" ".join(words), " ".join([*words[:-1], "other"]), " ".join([*words[:-1], "third"])]
+    texts += ["", "   ", "a b c", "x y z"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own = alike.sketched(docs)
+    plain = own.withColumn("bands", F.array().cast("array<bigint>"))
+    rows = {r["node"]: r["fp"] for r in own.collect()}
+    met = {(r["u"], r["v"]) for r in alike.meetings(plain).collect()}
+    assert met and all(v < u for u, v in met)
+    # every pair within two bits is joined, if through others
+    root = {n: n for n in rows}
+
+    def find(n):
+        return n if root[n] == n else find(root[n])
+
+    for u, v in met:
+        root[find(u)] = find(v)
+        assert rows[u] is not None and bin((rows[u] ^ rows[v]) & (2**64 - 1)).count("1") <= simhash.RADIUS
+    sound = [(n, fp) for n, fp in rows.items() if fp is not None]
+    assert all(find(a) == find(b) for a, x in sound for b, y in sound if bin((x ^ y) & (2**64 - 1)).count("1") <= simhash.RADIUS)
+    assert kept(spark, texts) == sorted(alike_by_hand(texts))

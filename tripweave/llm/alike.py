@@ -1,9 +1,10 @@
 """Near-duplicates by the Jaccard similarity of five-word shingles, for the pipeline's stage.
 
-Every distinct shingle set is sketched by ``BANDS`` bands of ``ROWS`` minima. Sets that share a
-band, directly or through others, make a neighbourhood; no link leaves it. In a neighbourhood
+Every distinct shingle set has a SimHash fingerprint and is sketched by ``BANDS`` bands of ``ROWS`` minima. Sets
+whose fingerprints meet by ball hashing (``simhash.links``) or that share a band, directly or through others, make
+a neighbourhood; no link leaves it. In a neighbourhood
 of up to ``BLOCK`` sets the similarity of all of them is counted exactly, in one matrix product. A
-larger one is first thinned: every set is compared with one pivot, the least set of its bands. What
+larger one is first thinned: every set is compared with one pivot, the least set it meets. What
 the pivots join into the largest group need not be compared among itself; the rest, dealt
 out in blocks, meets all blocks, so no similar pair of a neighbourhood is missed.
 
@@ -27,7 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.llm.common import components, marks, pieces, settled, with_mark
-from tripweave.llm.simhash import SEED, shingles
+from tripweave.llm.simhash import SEED, majority, shingles
+from tripweave.llm.simhash import links as fingerprint_links
 
 SHINGLE = 5
 ALIKE = 0.8
@@ -99,26 +101,42 @@ def block_links(nodes: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[int
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, node, bands`` for every row, without a shuffle."""
+    """``doc_id, text_hash, node, fp, bands`` for every row, without a shuffle; a set without shingles has no ``fp``."""
 
     def run(batches):
         for batch in pieces(batches, 2):
             sets = [shingle_set(text) for text in batch.column(2).to_pylist()]
             nodes = pa.array([node(s) for s in sets], pa.int64())
+            prints = pa.array([majority(s) if len(s) else None for s in sets], pa.int64())
             entered = pa.array([bands(s) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), nodes, entered], ["doc_id", "text_hash", "node", "bands"])
+            columns = [batch.column(0), batch.column(1), nodes, prints, entered]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "node", "fp", "bands"])
 
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return texts.mapInArrow(run, "doc_id long, text_hash long, node long, bands array<long>")
+    return texts.mapInArrow(run, "doc_id long, text_hash long, node long, fp long, bands array<long>")
 
 
 def meetings(own: DataFrame) -> DataFrame:
-    """``u, v``: every set and the least set of each of its bands, where that is another."""
-    entered = own.select("node", F.explode("bands").alias("band"))
-    ends = entered.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("greatest")).where("least < greatest")
+    """``u, v``: sets that meet, in a band or by their fingerprints; ``v`` is the lesser one."""
+    banded = _least_of(own.select("node", F.explode("bands").alias("key")))
+    return banded.unionByName(_close(own.select("node", "fp").where("fp IS NOT NULL"))).distinct()
+
+
+def _least_of(entered: DataFrame) -> DataFrame:
+    """``u, v``: every set and the least set of each of its keys (``node, key``), where that is another."""
+    ends = entered.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("greatest")).where("least < greatest")
     # written, so that the join has an exchange on either side and the engine can split a large band
-    met = entered.join(settled(ends, "bands"), "band").where("node <> least")
-    return met.select(F.col("node").alias("u"), F.col("least").alias("v")).distinct()
+    met = entered.join(settled(ends, "bands"), "key").where("node <> least")
+    return met.select(F.col("node").alias("u"), F.col("least").alias("v"))
+
+
+def _close(prints: DataFrame) -> DataFrame:
+    """``u, v``: sets (``node, fp``) that have one fingerprint, or whose fingerprints meet by ball hashing."""
+    least = settled(prints.groupBy("fp").agg(F.min("node").alias("node")), "prints")
+    ends = [least.select(F.col("fp").alias(side), F.col("node").alias(f"{side}_node")) for side in "uv"]
+    met = settled(fingerprint_links(least), "close").join(ends[0], "u").join(ends[1], "v")
+    met = met.select(F.greatest("u_node", "v_node").alias("u"), F.least("u_node", "v_node").alias("v"))
+    return _least_of(prints.select("node", F.col("fp").alias("key"))).unionByName(met)
 
 
 def _tasks(frame: DataFrame) -> int:
