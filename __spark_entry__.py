@@ -6,7 +6,7 @@ import os
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -209,6 +209,13 @@ def incremental_months(spark: SparkSession, folder: str) -> DataFrame:
     return incremental.read_table(spark, path)
 
 
+def _arrive(spark: SparkSession, folder: str, path: str, *keys: Column) -> int:
+    """Put the trips of a folder into files, the more the larger it is; returns how many make a third of them."""
+    files = fixtures.trip_pieces(spark, folder, 3)
+    _raw(spark, folder).repartition(files, *keys).write.parquet(path)
+    return -(-files // 3)
+
+
 def streamed_batches(spark: SparkSession, folder: str) -> DataFrame:
     """Several batches, each cleaned with the zone table as it is then."""
     path = scratch_path(spark, "stream")
@@ -245,10 +252,10 @@ def streamed_clean(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def streamed_hourly_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Several files of mixed months, a batch each."""
+    """Three batches of files of mixed months."""
     path = scratch_path(spark, "stream")
-    _raw(spark, folder).repartition(3, F.month("pickup_datetime")).write.parquet(f"{path}/in")
-    arriving = live.stream_standard(spark, f"{path}/in", files_per_batch=1)
+    files = _arrive(spark, folder, f"{path}/in", F.to_date("pickup_datetime"))
+    arriving = live.stream_standard(spark, f"{path}/in", files_per_batch=files)
     counts = live.hourly_borough_counts(clean_trips(arriving, _zones(spark, folder)))
     live.write_hourly_counts(counts, f"{path}/out", f"{path}/progress", once=True, compact_every=2).awaitTermination()
     return live.read_hourly_counts(spark, f"{path}/out")

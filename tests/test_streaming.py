@@ -2,9 +2,12 @@ from __future__ import annotations
 
 import datetime as dt
 
+import __spark_entry__ as entry
 import pytest
+from conftest import TINY
 from pyspark.sql import functions as F
 
+from tripweave import fixtures
 from tripweave.plans.etl import clean_trips
 from tripweave.schemas import CLEAN_SCHEMA, MODERN
 from tripweave.sources.trips import read_clean
@@ -150,3 +153,15 @@ def test_each_batch_sees_the_zones_of_its_time(spark, make_trips, zones, tmp_pat
     ).parquet(stored)
     run()  # the batch that failed is taken again
     assert live.read_batches(spark, out).count() == 4
+
+
+def test_arriving_files_grow_in_number_and_not_in_size(spark, monkeypatch, tmp_path):
+    trips = fixtures.order_trips(spark, TINY)
+    assert entry._arrive(spark, TINY, str(tmp_path / "few"), F.to_date("pickup_datetime")) == 1
+    monkeypatch.setattr(fixtures, "PIECE_BYTES", 10_000)
+    assert entry._arrive(spark, TINY, str(tmp_path / "many"), F.to_date("pickup_datetime")) == 4
+    for name, n in (("few", 3), ("many", 12)):
+        stored = spark.read.parquet(str(tmp_path / name))
+        sizes = [r["count"] for r in stored.groupBy(F.col("_metadata.file_path")).count().collect()]
+        assert len(sizes) == n and max(sizes) < 2 * sum(sizes) / n
+        assert sum(sizes) == trips.count() and stored.exceptAll(trips).isEmpty()

@@ -13,6 +13,7 @@ from tripweave.schemas import DOUBLE, INT, LEGACY, LONG, MIDDLE, MODERN, TEXT, T
 from tripweave.sources import snapshots
 
 AIRPORT_BOROUGH = ("AFRICA",)
+PIECE_BYTES = 32 << 20  # of stored line items, for the trips of one file
 
 
 # The columns used, with their stored types; naming them spares a footer job per table.
@@ -70,6 +71,11 @@ def order_trips(spark: SparkSession, folder: str) -> DataFrame:
     ).select(*TRIP_SCHEMA.names)
 
 
+def trip_pieces(spark: SparkSession, folder: str, least: int) -> int:
+    """In how many pieces the trips of a folder are written, so that the trips of one do not grow with the folder."""
+    return max(least, -(-snapshots.size(spark, f"{folder}/lineitem.parquet") // PIECE_BYTES))
+
+
 def nation_zones(spark: SparkSession, folder: str) -> DataFrame:
     """Nations as zones and regions as boroughs, one of them unknown."""
     nations = _table(spark, folder, "nation").join(

@@ -31,6 +31,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(target)) if system.exists(target) else []
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files in a folder."""
+    system, target = _folder(spark, path)
+    return system.getContentSummary(target).getLength()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     system, target = _folder(spark, path)
     system.delete(target, True)
