@@ -217,11 +217,11 @@ def _arrive(spark: SparkSession, folder: str, path: str, *keys: Column) -> int:
 
 
 def streamed_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """Several batches, each cleaned with the zone table as it is then."""
+    """Three batches, each cleaned with the zone table as it is then."""
     path = scratch_path(spark, "stream")
-    _raw(spark, folder).repartition(3).write.parquet(f"{path}/in")
+    files = _arrive(spark, folder, f"{path}/in")
     _zones(spark, folder).write.parquet(f"{path}/zones")
-    arriving = live.stream_standard(spark, f"{path}/in", files_per_batch=1)
+    arriving = live.stream_standard(spark, f"{path}/in", files_per_batch=files)
     query = live.clean_batches(
         arriving, lambda session: session.read.parquet(f"{path}/zones"), f"{path}/out", f"{path}/progress", once=True
     )
