@@ -18,6 +18,7 @@ from tripweave.operators.enrich import enrich  # noqa: E402
 from tripweave.plans import incremental, insights, report  # noqa: E402
 from tripweave.plans.etl import clean_trips, clean_trips_basic  # noqa: E402
 from tripweave.plans.rollup import rollup  # noqa: E402
+from tripweave.schemas import TRIP_SCHEMA  # noqa: E402
 from tripweave.session import scratch_path, written  # noqa: E402
 from tripweave.sources import ledger, snapshots, writers  # noqa: E402
 from tripweave.sources import trips as sources  # noqa: E402
@@ -137,20 +138,25 @@ def compact_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 _month_roots: dict[tuple[str, str], str] = {}
 
 
-def _write_months(spark: SparkSession, folder: str, root: str, which: str = "true") -> None:
-    """The trips of a folder, one file for each month, named by it."""
+def _stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The trips of a folder, joined once in an application."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _month_roots:
         path = scratch_path(spark, "trips")
         _raw(spark, folder).write.parquet(path)
         _month_roots[key] = path
-    fixtures.write_month_files(spark.read.parquet(_month_roots[key]).where(which), root)
+    return spark.read.schema(TRIP_SCHEMA).parquet(_month_roots[key])
+
+
+def _write_months(spark: SparkSession, folder: str, root: str, which: str = "true") -> None:
+    """The trips of a folder, one file for each month, named by it."""
+    fixtures.write_month_files(_stored(spark, folder).where(which), root)
 
 
 def _damage_months(spark: SparkSession, folder: str, root: str) -> None:
     """Every fifth month's file is damaged."""
     month = F.date_format("pickup_datetime", "yyyy-MM").alias("file_month")
-    fifth = _raw(spark, folder).where("(year(pickup_datetime) * 12 + month(pickup_datetime)) % 5 = 0")
+    fifth = _stored(spark, folder).where("(year(pickup_datetime) * 12 + month(pickup_datetime)) % 5 = 0")
     fixtures.damage_months(spark, root, fifth.select(month).distinct())
 
 

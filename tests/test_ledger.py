@@ -7,6 +7,7 @@ import os
 import random
 from collections import Counter
 
+import __spark_entry__ as entry
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -15,7 +16,7 @@ from tripweave.operators import audit
 from tripweave.sources import ledger, snapshots
 from tripweave.sources import trips as sources
 
-from conftest import plan_text
+from conftest import TINY, plan_text
 
 LONG, DOUBLE = pa.int64(), pa.float64()
 
@@ -228,3 +229,12 @@ def test_versions(spark, tmp_path):
     assert snapshots.read(spark, path, "x int").count() == 2
     assert snapshots.commit(spark.range(9).selectExpr("cast(id AS int) AS x"), path) == 4
     assert snapshots.children(spark, path) == ["v=2", "v=4"]
+
+
+def test_damaged_months_come_from_the_stored_trips(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(entry, "_month_roots", {})
+    raw = entry._raw
+    monkeypatch.setattr(entry, "_raw", lambda *a: made.append(a) or raw(*a))
+    assert entry.ingest_remainder(spark, TINY).count() > 0
+    assert len(made) == 1
