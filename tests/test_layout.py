@@ -2,14 +2,16 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import __spark_entry__ as entry
 from pyspark.sql import functions as F
 
+from tripweave import fixtures
 from tripweave.plans.etl import clean_trips
 from tripweave.schemas import CLEAN_SCHEMA
 from tripweave.sources.trips import read_clean
 from tripweave.sources.writers import with_layout_columns, write_bucketed, write_clean, write_compact
 
-from conftest import plan_text
+from conftest import TINY, plan_text
 
 
 def unchanged(a, b):
@@ -101,3 +103,23 @@ def test_bucketed_table_groups_without_a_shuffle(spark, clean_table):
     assert "Exchange" not in plan_text(grouped)
     assert grouped.agg(F.sum("count")).first()[0] == clean_table.count()
     spark.sql("DROP TABLE trips_by_borough")
+
+
+def test_line_items_of_many_trips_move_once(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plan = fixtures.order_trips(spark, TINY)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # the nodes above the scan of the line items
+    lines = plan.split("\n")
+    at = next(i for i, line in enumerate(lines) if "Scan" in line and "l_orderkey#" in line)
+    deep, moves = len(lines[at]) - len(lines[at].lstrip(" :+-")), 0
+    for line in reversed(lines[:at]):
+        own = len(line) - len(line.lstrip(" :+-"))
+        if own < deep:
+            deep, moves = own, moves + ("Exchange" in line)
+    assert moves == 2  # to the orders and to the suppliers

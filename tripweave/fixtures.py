@@ -45,10 +45,11 @@ def order_trips(spark: SparkSession, folder: str) -> DataFrame:
     orders = _table(spark, folder, "orders").select(
         "o_orderkey", "o_custkey", F.timestamp_add("YEAR", years, F.col("o_orderdate")).alias("base")
     )
+    # customers meet the orders first, so that the line items move once
+    orders = orders.join(_table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     lines = (
         _table(spark, folder, "lineitem")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(_table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(_table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     )
     start = (F.col("o_orderkey") * 7919 + F.col("l_linenumber") * 131) % 1440
