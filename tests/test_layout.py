@@ -105,6 +105,14 @@ def test_bucketed_table_groups_without_a_shuffle(spark, clean_table):
     spark.sql("DROP TABLE trips_by_borough")
 
 
+def test_a_coalesced_write_has_more_files_for_more_trips(spark, monkeypatch):
+    monkeypatch.setattr(fixtures, "PIECE_BYTES", 10_000)
+    asked, write = [], write_compact
+    monkeypatch.setattr(entry.writers, "write_compact", lambda *a, **o: asked.append(o) or write(*a, **o))
+    assert entry.coalesced_write(spark, TINY).count() == entry._basic(spark, TINY).count()
+    assert asked == [{"files": 12, "shuffle": False}]
+
+
 def test_line_items_of_many_trips_move_once(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
