@@ -85,11 +85,12 @@ class PairIndexBpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [self.split(text) for text in texts]
+        once: dict[str, str] = {}  # a word that recurs is held once, not once for each place
+        split = [[once.setdefault(w, w) for w in self.split(text)] for text in texts]
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
         self.known.update(self.added)
-        fresh = [*set().union(*split).difference(self.known)]
+        fresh = [*once.keys() - self.known.keys()]
         self.known.update(zip(fresh, self.merge([w.encode() for w in fresh])))
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 

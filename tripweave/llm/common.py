@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from tripweave.session import scratch_path
 
 CHUNK_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 FIRST_ID = -(2**63)  # stands for a null doc_id where an order is needed: it comes first
 
 
@@ -34,6 +36,16 @@ def shipped(spark: SparkSession) -> None:
     _shipped["context"] = context.applicationId
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of this session hold about ``BATCH_BYTES``, unless the session bounds their bytes itself.
+
+    By default a batch is 10,000 rows: tens of megabytes of texts, held by the JVM and by a Python worker at once,
+    which neither gives back to the system.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _shipped: dict[str, str] = {}
 
